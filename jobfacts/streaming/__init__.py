@@ -1,0 +1,7 @@
+"""Streaming: nothing to build.
+
+The modelled job is a scheduled full refresh of one batch table; it reads no streams
+and keeps no state between runs (no watermarks, event-time windows or incremental
+loads).  Structured Streaming is therefore not used; the batch plan in
+``jobfacts.plans.fact`` is re-run per refresh.
+"""
