@@ -46,10 +46,21 @@ def move_in_matches(spine: DataFrame, leases: DataFrame, request_type: str, days
     return m.select("job_id", "service_request_id", "lease_flow_id", "move_in_date")
 
 
-def move_in_flag(spine: DataFrame, leases: DataFrame, request_type: str, days: int) -> DataFrame:
-    """Job ids with at least one matching lease, each once (a semi join): the fact only
-    needs existence, so a lease id that repeats cannot multiply fact rows."""
-    jobs = spine.filter(F.col("request_type") == F.lit(request_type)).select(
-        "job_id", "lease_flow_id", "created_at")
-    m = within_days_of(jobs, leases, "lease_flow_id", "created_at", "move_in_date", days, how="left_semi")
+def move_in_flag(jobs: DataFrame, requests: DataFrame, leases: DataFrame, request_type: str,
+                 days: int) -> DataFrame:
+    """Job ids created within ``days`` after a move-in of their request's lease, each once.
+
+    Works from narrow inputs instead of the spine: ``jobs`` needs ``job_id,
+    service_request_id, created_at`` (local clock) and ``requests`` needs
+    ``service_request_id, lease_flow_id, request_type``.  Requests of the given type are
+    joined to their leases first (request-sized), then the job rows meet those windows
+    by request with the range as residual and a semi join: the fact only needs
+    existence, so a lease id that repeats cannot multiply fact rows.  Jobs that are not
+    live get a flag here too; the fact's LEFT join drops them.
+    """
+    windows = requests.filter(F.col("request_type") == F.lit(request_type)).select(
+        "service_request_id", "lease_flow_id").join(leases, on="lease_flow_id", how="inner")
+    windows = windows.select("service_request_id", "move_in_date")
+    m = within_days_of(jobs.select("job_id", "service_request_id", "created_at"), windows,
+                       "service_request_id", "created_at", "move_in_date", days, how="left_semi")
     return m.select("job_id", F.lit(1).alias("within_move_in"))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from jobfacts import constants as K
 from jobfacts.functions.codes import code_slice, decode
 from jobfacts.functions.flags import flag01
-from jobfacts.functions.timeops import elapsed_hours, epoch_seconds, hours_from_seconds, to_local_time
+from jobfacts.functions.timeops import epoch_seconds, hours_from_seconds, to_local_time
 from jobfacts.sources.roles import LINE_ITEM_KEY
 
 INVITATION_COLUMNS = ("was_rejected", "was_accepted", "accepted_by", "was_reminded",
@@ -64,7 +64,8 @@ def _invitation_measures() -> dict[str, Column]:
         "accepted_by": (F.when(accepted & (F.col("updater_kind") == K.KIND_VENDOR), F.lit(K.ACCEPTED_BY_VENDOR_RANK))
                          .when(accepted & (F.col("updater_kind") == K.KIND_STAFF), F.lit(K.ACCEPTED_BY_STAFF_RANK))),
         "was_reminded": flag01((F.col("reminder_was_sent") == F.lit(True)) & accepted),
-        "hours_to_accept": F.when(accepted, elapsed_hours(F.col("created_at"), F.col("updated_at"), scale=0)),
+        # whole-second difference; turned into rounded hours after the MAX (see below)
+        "hours_to_accept": F.when(accepted, epoch_seconds(F.col("updated_at")) - epoch_seconds(F.col("created_at"))),
         "accepted_at": F.when(accepted, to_local_time(F.col("updated_at"))),
     }
 
@@ -76,7 +77,14 @@ def response_flags(invitations: DataFrame, codes: DataFrame) -> DataFrame:
     which row its dedupe keeps is irrelevant; a grouped MAX is the same result.
     """
     inv = _decoded_invitations(invitations, codes)
-    return inv.groupBy("job_id").agg(*[F.max(c).alias(n) for n, c in _invitation_measures().items()])
+    agg = inv.groupBy("job_id").agg(*[F.max(c).alias(n) for n, c in _invitation_measures().items()])
+    return agg.withColumn("hours_to_accept", _to_whole_hours(F.col("hours_to_accept")))
+
+
+def _to_whole_hours(seconds: Column) -> Column:
+    """Rounding to whole hours is monotone, so the MAX of rounded per-row hours equals the
+    rounded MAX of the seconds: the decimal division runs once per job, not per row."""
+    return hours_from_seconds(seconds, scale=0)
 
 
 def response_flags_literal(invitations: DataFrame, codes: DataFrame, spine: DataFrame) -> DataFrame:
@@ -86,7 +94,8 @@ def response_flags_literal(invitations: DataFrame, codes: DataFrame, spine: Data
     latest = Window.partitionBy("job_id").orderBy(F.col("updated_at").desc_nulls_first())
     cols = [F.max(c).over(whole).alias(n) for n, c in _invitation_measures().items()]
     ranked = inv.select("job_id", *cols, F.row_number().over(latest).alias("_rn"))
-    return ranked.filter(F.col("_rn") == 1).drop("_rn")
+    first = ranked.filter(F.col("_rn") == 1).drop("_rn")
+    return first.withColumn("hours_to_accept", _to_whole_hours(F.col("hours_to_accept")))
 
 
 # -- C12: note and attachment counts ----------------------------------------------------
@@ -180,8 +189,10 @@ def bridge_join(bridge: DataFrame, line_items: DataFrame, invoices: DataFrame) -
     """
     live = invoices.filter((F.col("is_voided") == F.lit(False)) & (F.col("is_paid") == F.lit(True))
                            & (F.col("is_deleted") == F.lit(False)))
-    items = bridge.join(line_items, on=list(LINE_ITEM_KEY), how="inner")
-    items = items.join(live.select("invoice_id", "invoice_date", "created_date"), on="invoice_id", how="inner")
+    # the invoice lookup first: it filters, and as a dimension it is usually broadcast,
+    # so the line-item stream shrinks before the bridge join shuffles it
+    items = line_items.join(live.select("invoice_id", "invoice_date", "created_date"), on="invoice_id", how="inner")
+    items = bridge.join(items, on=list(LINE_ITEM_KEY), how="inner")
     return items.select("job_id", "amount", "invoice_id", "invoice_date",
                         F.col("created_date").alias("created_at"))
 

@@ -8,9 +8,10 @@
 * every child table is aggregated per job on its own (``operators.rollups``) -- the
   spine is not re-joined inside a branch -- and each branch leaves its aggregate
   hash-partitioned by ``job_id``;
-* the two branches that need spine columns (move-in window, survey) read a *narrow*
-  projection of the spine, and the survey's (request, worker) re-key happens on that
-  projection, so the wide fact row is shuffled once, by ``job_id``;
+* the two branches keyed by something other than the job (move-in window by lease,
+  survey by request and worker) start from narrow projections of the jobs and
+  requests tables -- the spine is not rebuilt for them -- and end keyed by job, so the
+  wide fact row is shuffled once, by ``job_id``;
 * the assembly is a chain of LEFT sort-merge joins on ``job_id`` that reuses one
   hash partitioning (one exchange per input, none between joins).
 
@@ -88,8 +89,11 @@ def job_fact(r: Roles) -> DataFrame:
     jobs = dimensions.resolve_worker(spine, r.vendors, r.users)
     jobs = dimensions.attach_rates(jobs, r.rates)
 
-    narrow = spine.select("job_id", "service_request_id", "lease_flow_id", "request_type", "created_at",
-                          F.coalesce("assigned_staff_id", "assigned_vendor_id").alias("worker_id"))
+    # Narrow job rows for the two branches keyed by something other than the job: read
+    # from the jobs table alone (no second spine), non-live jobs drop out at assembly.
+    local = spine_ops.local_jobs(r.jobs)
+    workers = r.jobs.select("job_id", "service_request_id",
+                            F.coalesce("assigned_staff_id", "assigned_vendor_id").alias("worker_id"))
     ratings = survey.latest_ratings(survey.rating_rows(r.survey_questions, r.question_types, r.csat))
     branches = [
         rollups.response_flags(r.invitations, r.codes),
@@ -98,8 +102,8 @@ def job_fact(r: Roles) -> DataFrame:
         rollups.invoice_rollup(rollups.bridge_join(r.bridge, r.line_items, r.invoices), r.invoice_authors, r.codes),
         rollups.logged_hours(r.time_tracking, r.codes),
         rollups.first_status_times(r.approvals, r.approvers, r.approval_history),
-        ranges.move_in_flag(narrow, r.leases, K.SERVICE_REQUEST_TYPE, K.MOVE_IN_WINDOW_DAYS),
-        survey.two_key_latest_join(narrow, ratings),
+        ranges.move_in_flag(local, r.requests, r.leases, K.SERVICE_REQUEST_TYPE, K.MOVE_IN_WINDOW_DAYS),
+        survey.two_key_latest_join(workers, ratings),
     ]
     fact = jobs
     for b in branches:
