@@ -87,7 +87,7 @@ def latest_flag_with_dedupe(rows: DataFrame, flag_keys: Sequence[str] = FLAG_KEY
     marks = _flag_marks(rows, flag_keys, order, order_columns)
     out = winners.join(marks, on=list(flag_keys), how="left")
     flag = F.coalesce(_is_latest(order_columns), F.lit(False))
-    return out.withColumn("latest_survey", flag).drop(*[f"_latest_{c}" for c in order_columns])
+    return out.select(*rows.columns, flag.alias("latest_survey"))
 
 
 def latest_flag_with_dedupe_literal(rows: DataFrame, flag_keys: Sequence[str] = FLAG_KEYS,
