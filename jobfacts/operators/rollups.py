@@ -299,7 +299,9 @@ def first_status_times(approvals: DataFrame, approvers: DataFrame, history: Data
          .alias("_requested"),
         F.min(F.when(F.col("approval_status").isin(*K.APPROVAL_APPROVED_CODES), F.col("updated_at")))
          .alias("_approved"))
-    a = approvals.join(approvers.select("approval_id"), on="approval_id", how="left_semi")
+    # distinct approver keys: a partial aggregate collapses an approval with many
+    # approvers map-side, so the semi join's build side has one row per approval
+    a = approvals.join(approvers.select("approval_id").distinct(), on="approval_id", how="left_semi")
     if jobs is not None:
         a = a.join(jobs.select(F.col("job_id").alias("related_entity_id")), on="related_entity_id", how="left_semi")
     a = a.join(per_approval, on="approval_id", how="inner")
