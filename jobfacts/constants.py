@@ -54,9 +54,9 @@ LABEL_VENDOR = "Vendor"
 WORKER_TYPE_VENDOR = "Vendor"
 
 # Decimal types of the derived measures.
-WHOLE_HOURS_TYPE = "decimal(38,0)"
-BILLABLE_HOURS_TYPE = "decimal(38,2)"
-ELAPSED_HOURS_TYPE = "decimal(38,6)"
+WHOLE_HOURS_TYPE = "decimal(18,0)"
+BILLABLE_HOURS_TYPE = "decimal(18,2)"
+ELAPSED_HOURS_TYPE = "decimal(18,6)"
 MONEY_TYPE = "decimal(18,2)"
 MONEY_SUM_TYPE = "decimal(38,2)"
 RATE_MULTIPLE_TYPE = "decimal(9,4)"

@@ -33,16 +33,20 @@ def epoch_seconds(ts: Column) -> Column:
 
 
 def hours_from_seconds(seconds: Column, scale: int = 6) -> Column:
-    """Exact ``seconds / 3600`` as ``decimal(38, scale)`` (HALF_UP)."""
+    """Exact ``seconds / 3600`` as ``decimal(18, scale)`` (HALF_UP).
+
+    18 digits hold any realistic span (10^11 hours at 6 places) and keep the value a
+    long-backed decimal in Spark's rows (wider decimals are BigDecimal-backed).
+    """
     hours = seconds.cast("decimal(20,0)") / F.lit(3600).cast("decimal(4,0)")  # decimal(26,6)
-    return hours.cast(f"decimal(38,{scale})")
+    return hours.cast(f"decimal(18,{scale})")
 
 
 def elapsed_hours(start: Column, end: Column, scale: int = 6) -> Column:
     """Hours from ``start`` to ``end``: whole-second epochs, exact decimal division.
 
     ``scale=6`` is the raw measure, ``scale=0`` the job's whole-hour rounding,
-    ``scale=2`` the two-decimal reading.
+    ``scale=2`` the two-decimal reading; the result is ``decimal(18, scale)``.
     """
     return hours_from_seconds(epoch_seconds(end) - epoch_seconds(start), scale)
 
