@@ -44,3 +44,30 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     spark.conf.set("spark.checkpoint.dir", fallback)
     spark.sparkContext.setCheckpointDir(fallback)
     return fallback
+
+
+# Settings for the full-size run (about 100 TB of input on ~1000 executors).  A cluster
+# session is created by the platform; apply these with ``spark.conf.set`` or
+# ``--conf``.  Initial shuffle partitions are sized for ~200 MB per partition of the
+# largest shuffle (the line-item stream); AQE then coalesces small ones to the advisory
+# size and splits skewed ones.
+CLUSTER_SETTINGS = {
+    "spark.sql.shuffle.partitions": "40000",
+    "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+    # dimensions are broadcast only under this size (estimate, re-checked by AQE)
+    "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
+}
+
+
+def apply_cluster_settings(spark: SparkSession) -> None:
+    for key, value in CLUSTER_SETTINGS.items():
+        spark.conf.set(key, value)
