@@ -30,16 +30,24 @@ DEDUPE_KEYS = ("survey_id", "vendor_or_tech_id", "question_type_id")
 
 
 def flag_order() -> list[Column]:
-    """Latest first; NULL times count as the latest (they sort high in the job's dialect)."""
-    return [F.col("survey_created_at").desc_nulls_first(), F.col("question_id").asc_nulls_last()]
+    """Latest first; NULL times count as the latest (they sort high in the job's dialect).
+
+    The job leaves ties arbitrary; the tie-breaks (question, survey, comment) make the
+    order total over distinct rows, so both row numbers -- and the oracle -- agree.
+    """
+    return [F.col("survey_created_at").desc_nulls_first(), F.col("question_id").asc_nulls_last(),
+            F.col("survey_id").asc_nulls_last(), F.col("vendor_tech_csat_comment").asc_nulls_last()]
 
 
 def dedupe_order() -> list[Column]:
-    """The job orders by a partition column; the tie-break picks the lowest question id."""
-    return [F.col("question_id").asc_nulls_last(), F.col("survey_created_at").desc_nulls_first()]
+    """The job orders by a partition column; the tie-break picks the lowest question id,
+    then the newest survey row (request and comment settle copies of a survey id)."""
+    return [F.col("question_id").asc_nulls_last(), F.col("survey_created_at").desc_nulls_first(),
+            F.col("service_request_id").asc_nulls_last(), F.col("vendor_tech_csat_comment").asc_nulls_last()]
 
 
-FLAG_ORDER_COLUMNS = ("survey_created_at", "question_id")
+# columns of ``flag_order``: a dedupe winner is the flagged row iff it matches on these
+FLAG_ORDER_COLUMNS = ("survey_created_at", "question_id", "survey_id", "vendor_tech_csat_comment")
 
 
 def rating_rows(questions: DataFrame, question_types: DataFrame, csat: DataFrame) -> DataFrame:
