@@ -1,10 +1,10 @@
 """Materialising the fact (C27): a full refresh.
 
-``mode("overwrite")`` replaces the table in one job; tasks write their files and the
-driver commits the output only when every task succeeded, so a lost executor re-runs
-its tasks and a failed refresh leaves the previous files in place (overwrite deletes
-only at commit with a transactional table format; with plain parquet write to a fresh
-path and swap, see ``write_fact(..., path=...)``).
+``write_fact`` overwrites a parquet folder in one Spark job: tasks write their files and
+the job commit publishes them only when every task has succeeded, so a lost executor
+just re-runs its tasks.  ``save_fact_table`` does the same into a catalog table, with
+optional bucketing by job so that later joins on the job key read co-partitioned files
+instead of shuffling.  The written table is what the key checks (``plans.checks``) read.
 """
 
 from __future__ import annotations
@@ -25,8 +25,6 @@ def write_fact(fact: DataFrame, path: str, partition_by: Sequence[str] = (),
 
 
 def save_fact_table(fact: DataFrame, table: str, bucket_by: str = "job_id", buckets: int = 0) -> None:
-    """As a catalog table; optional bucketing by job so downstream joins on the job key
-    read co-partitioned files instead of shuffling."""
     writer = fact.write.mode("overwrite").format("parquet")
     if buckets:
         writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
