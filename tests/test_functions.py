@@ -95,3 +95,36 @@ def test_flags_treat_null_as_false(spark):
                      exists_flag(F.col("x")).alias("e"),
                      conditional_attribute(F.col("x") == 1, F.lit("m")).alias("c")).collect()
     assert [(r.f, r.d, r.e, r.c) for r in rows] == [(1, True, 1, "m"), (0, False, 1, None), (0, False, 0, None)]
+
+
+def test_hours_match_exact_decimal_arithmetic(spark):
+    """Many random spans (negative, sub-second, multi-year) against exact Python decimals."""
+    import datetime as dt
+    import random
+    from decimal import ROUND_HALF_UP, Decimal as Dec
+
+    rng = random.Random(7)
+    base = dt.datetime(2020, 1, 1)
+    rows = []
+    for _ in range(400):
+        a = base + dt.timedelta(microseconds=rng.randrange(-10**14, 10**14))
+        b = a + dt.timedelta(microseconds=rng.choice([rng.randrange(-10**13, 10**13), rng.randrange(-10**7, 10**7),
+                                                       1800 * 10**6, -1800 * 10**6, 18 * 10**6]))
+        rows.append((a, b))
+    df = spark.createDataFrame(rows, "a timestamp_ntz, b timestamp_ntz")
+    got = df.select("a", "b", elapsed_hours(F.col("a"), F.col("b")).alias("h6"),
+                    elapsed_hours(F.col("a"), F.col("b"), 0).alias("h0"),
+                    elapsed_hours(F.col("a"), F.col("b"), 2).alias("h2")).collect()
+    epoch = dt.datetime(1970, 1, 1)
+
+    def secs(t):  # whole seconds, truncated toward zero like unix_timestamp
+        us = (t - epoch) // dt.timedelta(microseconds=1)
+        return int(us / 10**6) if us < 0 else us // 10**6
+
+    # Spark rounds twice (to 6 places, then to the scale); a difference of whole seconds
+    # over 3600 never lies on a tie at 6 places, so that equals one exact HALF_UP rounding.
+    for r in got:
+        exact = Dec(secs(r.b) - secs(r.a)) / Dec(3600)
+        for scale, value in ((6, r.h6), (0, r.h0), (2, r.h2)):
+            expected = exact.quantize(Dec(1).scaleb(-scale), ROUND_HALF_UP)
+            assert value == expected, (r.a, r.b, scale, value, expected)
