@@ -22,6 +22,7 @@ from jobfacts.session import local_session  # noqa: E402
 HEADLINE = (
     "job_fact",            # the flagship: 55-column fact, set-based plan
     "job_fact_literal",    # same result, the modelled job's literal shape
+    "job_fact_live_only",  # same result, children semi-joined to live jobs first
     "job_spine",
     "response_flags",
     "fanout_counts",

@@ -84,24 +84,36 @@ def _final_columns() -> list[Column]:
 
 
 # -- C24: the set-based plan --------------------------------------------------------------
-def job_fact(r: Roles) -> DataFrame:
+def job_fact(r: Roles, live_only: bool = False) -> DataFrame:
+    """The fact.  ``live_only=True`` semi-joins every child table to the live job keys
+    before it is aggregated: worth it when the spine keeps a small share of all jobs
+    (children of dead jobs are then dropped before their shuffle instead of being
+    aggregated and discarded at assembly).  Both settings return the same rows."""
     spine = spine_ops.job_spine(r.requests, r.jobs, r.codes, r.properties)
     jobs = dimensions.resolve_worker(spine, r.vendors, r.users)
     jobs = dimensions.attach_rates(jobs, r.rates)
 
+    live_ids = spine.select("job_id")
+
+    def live(df: DataFrame, key: str = "job_id") -> DataFrame:
+        if not live_only:
+            return df
+        return df.join(live_ids.withColumnRenamed("job_id", key), on=key, how="left_semi")
+
     # Narrow job rows for the two branches keyed by something other than the job: read
     # from the jobs table alone (no second spine), non-live jobs drop out at assembly.
-    local = spine_ops.local_jobs(r.jobs)
-    workers = r.jobs.select("job_id", "service_request_id",
-                            F.coalesce("assigned_staff_id", "assigned_vendor_id").alias("worker_id"))
+    local = live(spine_ops.local_jobs(r.jobs))
+    workers = live(r.jobs).select("job_id", "service_request_id",
+                                  F.coalesce("assigned_staff_id", "assigned_vendor_id").alias("worker_id"))
     ratings = survey.latest_ratings(survey.rating_rows(r.survey_questions, r.question_types, r.csat))
+    line_items = rollups.bridge_join(live(r.bridge), r.line_items, r.invoices)
     branches = [
-        rollups.response_flags(r.invitations, r.codes),
-        rollups.fanout_counts(r.notes, r.note_files, r.codes),
-        rollups.first_schedule(r.scheduled_services),
-        rollups.invoice_rollup(rollups.bridge_join(r.bridge, r.line_items, r.invoices), r.invoice_authors, r.codes),
-        rollups.logged_hours(r.time_tracking, r.codes),
-        rollups.first_status_times(r.approvals, r.approvers, r.approval_history),
+        rollups.response_flags(live(r.invitations), r.codes),
+        rollups.fanout_counts(live(r.notes, "reference_id"), r.note_files, r.codes),
+        rollups.first_schedule(live(r.scheduled_services)),
+        rollups.invoice_rollup(line_items, r.invoice_authors, r.codes),
+        rollups.logged_hours(live(r.time_tracking, "object_id"), r.codes),
+        rollups.first_status_times(live(r.approvals, "related_entity_id"), r.approvers, r.approval_history),
         ranges.move_in_flag(local, r.requests, r.leases, K.SERVICE_REQUEST_TYPE, K.MOVE_IN_WINDOW_DAYS),
         survey.two_key_latest_join(workers, ratings),
     ]

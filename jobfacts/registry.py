@@ -142,6 +142,7 @@ _QUERIES: dict[str, Callable[[Roles], DataFrame]] = {
         "job_id", "worker_type", "job_status", "market_id", fact.in_house_market().alias("in_house_market")),
     "job_fact": fact.job_fact,
     "job_fact_literal": fact.job_fact_literal,
+    "job_fact_live_only": lambda r: fact.job_fact(r, live_only=True),
     "check_primary_key": check_primary_key_q,
     "check_foreign_key": lambda r: checks.fact_key_checks(fact.job_fact(r), r.requests, r.vendors, r.users),
     "primary_key_violations": lambda r: checks.primary_key_violations(r.scheduled_services, ["job_id", "created_at"]),

@@ -51,3 +51,8 @@ class _ExtraCancelled(Roles):
 
 def test_cancelled_jobs_change_nothing(spark):
     assert _same(job_fact(Roles(spark, SF)), job_fact(_ExtraCancelled(spark, SF)))
+
+
+def test_live_only_prefilter_changes_nothing(spark):
+    r = Roles(spark, SF)
+    assert _same(job_fact(r), job_fact(r, live_only=True))

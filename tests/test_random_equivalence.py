@@ -84,3 +84,5 @@ def test_set_based_equals_literal_on_random_tables(spark, seed):
     b = job_fact_literal(r).collect()
     assert len(a) == len({x.job_id for x in a})
     assert Counter(map(tuple, a)) == Counter(map(tuple, b))
+    c = job_fact(r, live_only=True).collect()
+    assert Counter(map(tuple, a)) == Counter(map(tuple, c))
