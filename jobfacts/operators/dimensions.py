@@ -4,8 +4,8 @@ Both are LEFT lookups keyed by a dimension id, so they are expressed as joins th
 columns to the job rows instead of separate job-keyed branches that are joined back:
 one join per dimension, no shuffle by job.  Dimension tables are not hinted: Spark
 broadcasts them when their size estimate is under ``autoBroadcastJoinThreshold`` (AQE
-re-checks with the real size) and otherwise sort-merge joins, where AQE splits the
-partition holding the NULL keys of jobs without a worker.
+re-checks with the real size) and otherwise sort-merge joins them; ``left_lookup``
+spreads the NULL keys of jobs without a worker so no single partition receives them.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobfacts import constants as K
+from jobfacts.operators.lookup import left_lookup
 
 RATE_COLUMNS = ("maintenance_rate_amount", "first_hour_maintenance_rate_amount", "after_hours_emergency_rate")
 
@@ -23,11 +24,12 @@ def attach_rates(jobs: DataFrame, rates: DataFrame) -> DataFrame:
 
     The staff condition sits inside the LEFT join condition, which gives exactly the
     job's filter-then-left-join branch joined back by job -- including its row
-    multiplication if an area had several rate rows -- in a single join.
+    multiplication if an area had several rate rows -- in a single join.  Jobs that are
+    not eligible are spread like NULL keys (``left_lookup``).
     """
     r = rates.withColumnRenamed("area_id", "_rate_area")
-    cond = (jobs["area_id"] == r["_rate_area"]) & (jobs["completed_by"] == F.lit(K.LABEL_STAFF))
-    return jobs.join(r, cond, "left").drop("_rate_area")
+    staff = F.col("completed_by") == F.lit(K.LABEL_STAFF)
+    return left_lookup(jobs, r, "area_id", "_rate_area", "job_id", eligible=staff).drop("_rate_area")
 
 
 def labor_rates(spine: DataFrame, rates: DataFrame) -> DataFrame:
@@ -46,8 +48,8 @@ def resolve_worker(jobs: DataFrame, vendors: DataFrame, users: DataFrame) -> Dat
     v = vendors.select(F.col("vendor_id"), F.col("name").alias("_vendor_name"),
                        F.col("is_in_house").alias("is_in_house_vendor"))
     u = users.select(F.col("staff_id").alias("_staff_id"), F.col("name").alias("_staff_name"))
-    out = jobs.join(v, jobs["assigned_vendor_id"] == v["vendor_id"], "left")
-    out = out.join(u, out["assigned_staff_id"] == u["_staff_id"], "left")
+    out = left_lookup(jobs, v, "assigned_vendor_id", "vendor_id", "job_id")
+    out = left_lookup(out, u, "assigned_staff_id", "_staff_id", "job_id")
     staff = F.col("assigned_staff_id").isNotNull()
     vendor = F.col("assigned_vendor_id").isNotNull()
     return (out

@@ -2,8 +2,8 @@
 
 Plan shape: jobs are decoded against two broadcast code slices and filtered *before*
 the shuffle that joins them to their requests, so cancelled jobs never cross the
-network; the property lookup is a LEFT join whose NULL asset keys Spark either
-broadcasts past (small dimension) or splits with AQE's skew handling.
+network; the property lookup is a LEFT join whose NULL asset keys are spread over
+all partitions (``operators.lookup``) in case the dimension is not broadcast.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from jobfacts import constants as K
 from jobfacts.functions.codes import code_slice, decode, label_normalize
 from jobfacts.functions.timeops import billable_hours, to_local_time
+from jobfacts.operators.lookup import left_lookup
 
 SPINE_COLUMNS = (
     "job_id", "external_id", "created_at", "completed_at", "scope_of_work", "summary",
@@ -48,7 +49,8 @@ def live_jobs(jobs: DataFrame, codes: DataFrame) -> DataFrame:
 def job_spine(requests: DataFrame, jobs: DataFrame, codes: DataFrame, properties: DataFrame) -> DataFrame:
     live = live_jobs(jobs, codes)
     spine = requests.join(live, on="service_request_id", how="inner")
-    spine = spine.join(properties, on="asset_id", how="left")
+    props = properties.withColumnRenamed("asset_id", "_asset")
+    spine = left_lookup(spine, props, "asset_id", "_asset", "job_id").drop("_asset")
     return spine.select(
         "job_id", "external_id", "created_at", "completed_at", "scope_of_work", "summary",
         "service_request_id", "lease_flow_id", "request_type", "assigned_vendor_id",

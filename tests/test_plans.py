@@ -77,3 +77,28 @@ def test_set_based_fact_scans_less_than_literal(static_plans):
         return len(re.findall(op, plan))
     assert count(static_plans["fact"], "FileScan") < count(static_plans["literal"], "FileScan")
     assert count(static_plans["fact"], "orders.parquet") < count(static_plans["literal"], "orders.parquet")
+
+
+def test_left_lookup_spreads_null_keys(spark):
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    from jobfacts.operators.lookup import left_lookup
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = spark.range(0, 3000).select(F.col("id").alias("job_id"),
+                                           F.when(F.col("id") % 3 == 0, F.col("id") % 50).alias("k"))
+        right = spark.range(-70, 50).select(F.col("id").alias("rk"), F.lit("x").alias("name"))
+        j = left_lookup(left, right, "k", "rk", "job_id")
+        rows = j.select("job_id", "k", "name", F.spark_partition_id().alias("p")).collect()
+        assert len(rows) == 3000
+        # matches exactly the non-NULL keys in range; stand-ins never match (right has negatives)
+        assert all((r.name is not None) == (r.k is not None) for r in rows)
+        assert max(Counter(r.p for r in rows).values()) < 3000 // 4   # NULLs (2/3 of rows) spread out
+        plain = left.join(right, left["k"] == right["rk"], "left").select(F.spark_partition_id().alias("p"))
+        assert max(Counter(r.p for r in plain.collect()).values()) >= 2000   # without: one partition
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(64 * 1024 * 1024))
