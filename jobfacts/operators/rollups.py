@@ -31,10 +31,6 @@ from jobfacts.functions.flags import flag01
 from jobfacts.functions.timeops import epoch_seconds, hours_from_seconds, to_local_time
 from jobfacts.sources.roles import LINE_ITEM_KEY
 
-INVITATION_COLUMNS = ("was_rejected", "was_accepted", "accepted_by", "was_reminded",
-                      "hours_to_accept", "accepted_at")
-NOTE_COLUMNS = ("vendor_notes", "staff_notes", "vendor_attachments", "staff_attachments",
-                "total_notes", "total_attachments")
 INVOICE_COLUMNS = ("vendor_created_invoices", "staff_created_invoices", "total_invoices",
                    "first_invoice_date", "first_invoice_created_at", "last_invoice_date",
                    "last_invoice_created_at")

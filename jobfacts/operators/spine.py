@@ -16,12 +16,6 @@ from jobfacts.functions.codes import code_slice, decode, label_normalize
 from jobfacts.functions.timeops import billable_hours, to_local_time
 from jobfacts.operators.lookup import left_lookup
 
-SPINE_COLUMNS = (
-    "job_id", "external_id", "created_at", "completed_at", "scope_of_work", "summary",
-    "service_request_id", "lease_flow_id", "request_type", "assigned_vendor_id",
-    "assigned_staff_id", "area_id", "market_id", "completed_by", "job_status", "billable_hours",
-)
-
 
 def local_jobs(jobs: DataFrame) -> DataFrame:
     """Jobs with creation and completion times on the local clock."""

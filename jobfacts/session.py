@@ -39,17 +39,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """Return the cluster's shared checkpoint folder; set ``fallback`` only if none is set."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        spark.sparkContext.setCheckpointDir(current)
-        return current
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
-
-
 # Settings for the full-size run (about 100 TB of input on ~1000 executors).  A cluster
 # session is created by the platform; apply these with ``spark.conf.set`` or
 # ``--conf``.  Initial shuffle partitions are sized for ~200 MB per partition of the

@@ -1,6 +1,5 @@
 """Sink (C27) and key checks (C25, C26) with planted violations."""
 
-from pyspark.sql import functions as F
 
 from jobfacts.plans import checks, sink
 from jobfacts.plans.fact import job_fact
