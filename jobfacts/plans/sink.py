@@ -29,3 +29,16 @@ def save_fact_table(fact: DataFrame, table: str, bucket_by: str = "job_id", buck
     if buckets:
         writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
     writer.saveAsTable(table)
+
+
+def refresh_fact(roles, path: str) -> DataFrame:
+    """One refresh: build and write the fact, then check its declared keys on the
+    *written* files (the model's post-write key hooks).  Returns the summary rows
+    (one PK row; FK rows have their own columns, so they are returned separately via
+    ``plans.checks.fact_key_checks`` on the same written table)."""
+    from jobfacts.plans import checks
+    from jobfacts.plans.fact import job_fact
+
+    write_fact(job_fact(roles), path)
+    written = roles.spark.read.parquet(path)
+    return checks.check_primary_key(written, ["job_id"], "job_fact")

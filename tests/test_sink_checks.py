@@ -53,3 +53,13 @@ def test_fact_foreign_keys_on_testdata(spark):
     # staff ids of customers with a negative balance have no user row by construction
     assert rows["assigned_staff_id"].orphan_rows > 0
     assert rows["vendor_id"].orphan_rows == 0            # vendor_id comes from the lookup itself
+
+
+def test_refresh_checks_the_written_table(spark, tmp_path):
+    r = Roles(spark, SF)
+    path = str(tmp_path / "refresh")
+    pk = sink.refresh_fact(r, path).collect()[0]
+    written = spark.read.parquet(path)
+    assert pk.total_rows == written.count() and pk.duplicate_keys == 0 and pk.null_key_rows == 0
+    fk = {x.fk_column: x for x in checks.fact_key_checks(written, r.requests, r.vendors, r.users).collect()}
+    assert fk["service_request_id"].orphan_rows == 0
