@@ -80,9 +80,14 @@ class Roles:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.sf_dir, name)
+        """Each base table is resolved once (file listing, schema) and shared by the
+        roles built from it; each role still prunes its own columns at the scan."""
+        if name not in self._tables:
+            self._tables[name] = read_table(self.spark, self.sf_dir, name)
+        return self._tables[name]
 
     # -- code tables -------------------------------------------------------------------
     @cached_property
