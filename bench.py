@@ -48,6 +48,20 @@ def run_once(build) -> float:
     return time.perf_counter() - t0
 
 
+def plan_stats(spark, df) -> dict:
+    """Shape of the static plan (AQE off): shuffles, joins and scans Catalyst chose."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    return {"exchanges": len(re.findall(r"Exchange hashpartitioning", plan)),
+            "sort_merge_joins": plan.count("SortMergeJoin"),
+            "broadcast_joins": plan.count("BroadcastHashJoin"),
+            "file_scans": plan.count("FileScan"),
+            "python_udfs": len(re.findall(r"(BatchEvalPython|ArrowEvalPython)", plan))}
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -64,6 +78,7 @@ def main() -> None:
         run_once(build)  # warm-up: JIT, file listing, broadcast of code slices
         samples = [run_once(build) for _ in range(repeat)]
         times[name] = round(statistics.median(samples), 3)
+    plans = {n: plan_stats(spark, qs[n](spark, sf_dir)) for n in ("job_fact", "job_fact_literal") if n in qs}
     print(json.dumps({
         "metric": "job_fact_sec",
         "value": times.get("job_fact"),
@@ -73,6 +88,7 @@ def main() -> None:
         "sf": _sf(sf_dir),
         "cpus": cpus,
         "repeat": repeat,
+        "plans": plans,
     }))
 
 
