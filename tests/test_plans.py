@@ -102,3 +102,18 @@ def test_left_lookup_spreads_null_keys(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(64 * 1024 * 1024))
+
+
+def test_left_lookup_int_and_string_keys(spark):
+    from jobfacts.operators.lookup import left_lookup
+    left = spark.createDataFrame([(1, 10, "a"), (2, None, None), (3, 11, "zz"), (4, 12, "b")],
+                                 "job_id long, k int, s string")
+    right_i = spark.createDataFrame([(10, "x"), (12, "y")], "rk int, v string")
+    right_s = spark.createDataFrame([("a", 1), ("b", 2)], "rs string, w int")
+    got = {r.job_id: (r.v, r.w) for r in
+           left_lookup(left_lookup(left, right_i, "k", "rk", "job_id"), right_s, "s", "rs", "job_id").collect()}
+    assert got == {1: ("x", 1), 2: (None, None), 3: (None, None), 4: ("y", 2)}
+    # an eligibility condition behaves like a LEFT join condition on left columns
+    elig = {r.job_id: r.v for r in left_lookup(left, right_i, "k", "rk", "job_id",
+                                               eligible=left["job_id"] != 4).collect()}
+    assert elig == {1: "x", 2: None, 3: None, 4: None}
