@@ -21,3 +21,18 @@ def test_role_schemas(spark):
     for name, cols in ROLE_SCHEMAS.items():
         got = [(f.name, f.dataType) for f in getattr(r, name).schema]
         assert got == list(cols), name
+
+
+def test_cluster_settings_apply(spark):
+    from jobfacts.session import CLUSTER_SETTINGS, apply_cluster_settings
+    before = {k: spark.conf.get(k, None) for k in CLUSTER_SETTINGS}
+    try:
+        apply_cluster_settings(spark)
+        for k, v in CLUSTER_SETTINGS.items():
+            assert spark.conf.get(k) == v, k
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
