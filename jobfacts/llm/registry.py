@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobfacts.llm import quality
+from jobfacts.llm import linededup, quality
 from jobfacts.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,8 +15,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op4_quality_rules": lambda s, d: quality.quality_query(table(s, d, "documents")),
+        "op9_line_dedup": lambda s, d: linededup.line_dedup_query(table(s, d, "documents")),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_quality_rules": quality.oracle_sql()}
+    return {
+        "op4_quality_rules": quality.oracle_sql(),
+        "op9_line_dedup": linededup.oracle_sql(),
+    }
