@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,6 +17,12 @@ NOT_WHITE = r"[^\x20\x09-\x0D]+"
 _LOCAL_WORK = "/tmp/checkpoints"
 
 
+def by_value(module: str) -> None:
+    """Send the module's functions to the workers with each job, so that these need no copy
+    of this library on their path."""
+    cloudpickle.register_pickle_by_value(sys.modules[module])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -50,12 +58,26 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), WHITE), "")
 
 
-def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", salts: int = 64) -> DataFrame:
-    """Equi-join in which the rows of one left key spread over ``salts`` tasks.
+#: rows that may be broadcast, of tables of a few narrow columns (about 100 MB at most)
+MAX_BROADCAST = 1_000_000
+
+
+def bounded(df: DataFrame, limit: int = MAX_BROADCAST) -> DataFrame:
+    """``df`` (a written table, so that counting is cheap), marked for broadcast if its row
+    count is at most ``limit``; any other is left to a shuffle."""
+    return F.broadcast(df) if df.count() <= limit else df
+
+
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", salts: int = 64,
+                limit: int = MAX_BROADCAST) -> DataFrame:
+    """Equi-join in which no left key, however frequent, loads one task.
 
-    ``right`` (few rows a key) is repeated once per salt, so a key that holds a third of
-    the left rows loads no task with more than a ``salts``-th of them.
+    ``right`` is a written table with few rows a key.  Counted to be small, it is broadcast
+    and the left rows stay where they are.  Otherwise the rows of one left key spread over
+    ``salts`` tasks, and ``right`` is repeated once per salt.
     """
+    if right.count() <= limit:
+        return left.join(F.broadcast(right), on=keys, how=how)
     salt = "_salt"
     spread = left.withColumn(salt, F.pmod(F.xxhash64(*[F.col(c) for c in left.columns if _hashable(left.schema[c].dataType)]), F.lit(salts)).cast("int"))
     copies = right.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

@@ -112,14 +112,14 @@ def oracle_sql(source: str = "documents", masks: tuple[str, ...] = MASKS) -> str
     """DuckDB: all places where a document's word equals an item's, by diagonal; seeds and
     stretches are then looked up among the places of a diagonal."""
     span = len(masks[0])
-    fits = " OR ".join("list_has_all(at, [" + ", ".join(f"p + {k}" for k, b in enumerate(m) if b == "1") + "])" for m in masks)
-    agree = "len(list_filter(at, lambda x: x >= s AND x < s + stretch))"
+    fits = " OR ".join("list_has_all(places, [" + ", ".join(f"p + {k}" for k, b in enumerate(m) if b == "1") + "])" for m in masks)
+    agree = "len(list_filter(places, lambda x: x >= s AND x < s + stretch))"
     return f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w FROM {source}),
 b AS (SELECT min(item_id) AS item_id, w FROM (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS w FROM benchmark) GROUP BY w HAVING len(w) >= {span}),
 dw AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
 bw AS (SELECT item_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM b),
-g AS (SELECT r, item_id, dw.p - bw.p AS diag, list(bw.p) AS at FROM dw JOIN bw USING (word) GROUP BY r, item_id, dw.p - bw.p HAVING count(*) >= 6),
+g AS (SELECT r, item_id, dw.p - bw.p AS diag, list(bw.p) AS places FROM dw JOIN bw USING (word) GROUP BY r, item_id, dw.p - bw.p HAVING count(*) >= 6),
 c AS (SELECT g.*, len(w) AS n, least(len(w), {STRETCH}) AS stretch FROM g JOIN b USING (item_id)),
 h AS (SELECT * FROM (SELECT *, unnest(range(1, n - {span} + 2)) AS p FROM c) WHERE {fits}),
 t AS (SELECT *, unnest(range(greatest(p + {span} - stretch, 1), least(p, n - stretch + 1) + 1)) AS s FROM h),
