@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobfacts.llm import decontam, jaccard, linededup, quality
+import corpus_pipeline
+from jobfacts.llm import decontam, jaccard, linededup, quality, sentencepieces
 from jobfacts.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,9 +16,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": lambda s, d: decontam.decontamination_query(table(s, d, "documents"), table(s, d, "benchmark")),
+        "op2_sentencepiece": lambda s, d: sentencepieces.sentencepiece_query(table(s, d, "documents")),
         "op4_quality_rules": lambda s, d: quality.quality_query(table(s, d, "documents")),
         "op7_ngram_jaccard_join": lambda s, d: jaccard.jaccard_query(table(s, d, "documents")),
         "op9_line_dedup": lambda s, d: linededup.line_dedup_query(table(s, d, "documents")),
+        "pipeline": corpus_pipeline.run,
     }
 
 
