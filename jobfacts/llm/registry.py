@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from jobfacts.llm import decontam, jaccard, linededup, quality, sentencepieces
+from jobfacts.llm import decontam, jaccard, linededup, quality, sentencepieces, warczip
 from jobfacts.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,7 @@ def queries() -> dict[str, Query]:
         "op4_quality_rules": lambda s, d: quality.quality_query(table(s, d, "documents")),
         "op7_ngram_jaccard_join": lambda s, d: jaccard.jaccard_query(table(s, d, "documents")),
         "op9_line_dedup": lambda s, d: linededup.line_dedup_query(table(s, d, "documents")),
+        "op10_warc": lambda s, d: warczip.warc_query(s, table(s, d, "pages")),
         "pipeline": corpus_pipeline.run,
     }
 
@@ -29,4 +30,5 @@ def oracle_sql() -> dict[str, str]:
         "op1_decontamination": decontam.oracle_sql(),
         "op4_quality_rules": quality.oracle_sql(),
         "op9_line_dedup": linededup.oracle_sql(),
+        "op10_warc": warczip.oracle_sql(),
     }
