@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from jobfacts.llm import decontam, jaccard, linededup, quality, sentencepieces, warczip
+from jobfacts.llm import decontam, htmltext, jaccard, langid, linededup, quality, sentencepieces, warczip
 from jobfacts.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,8 @@ def queries() -> dict[str, Query]:
         "op1_decontamination": lambda s, d: decontam.decontamination_query(table(s, d, "documents"), table(s, d, "benchmark")),
         "op2_sentencepiece": lambda s, d: sentencepieces.sentencepiece_query(table(s, d, "documents")),
         "op4_quality_rules": lambda s, d: quality.quality_query(table(s, d, "documents")),
+        "op5_html_extraction": lambda s, d: htmltext.html_query(table(s, d, "pages")),
+        "op6_language_id": lambda s, d: langid.langid_query(table(s, d, "documents")),
         "op7_ngram_jaccard_join": lambda s, d: jaccard.jaccard_query(table(s, d, "documents")),
         "op9_line_dedup": lambda s, d: linededup.line_dedup_query(table(s, d, "documents")),
         "op10_warc": lambda s, d: warczip.warc_query(s, table(s, d, "pages")),
