@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from jobfacts.llm import decontam, htmltext, jaccard, langid, linededup, quality, sentencepieces, warczip
+from jobfacts.llm import decontam, htmltext, jaccard, langid, linededup, quality, sentencepieces, toxicity, warczip
 from jobfacts.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": lambda s, d: decontam.decontamination_query(table(s, d, "documents"), table(s, d, "benchmark")),
         "op2_sentencepiece": lambda s, d: sentencepieces.sentencepiece_query(table(s, d, "documents")),
+        "op3_toxicity": lambda s, d: toxicity.toxicity_query(table(s, d, "documents"), table(s, d, "labels")),
         "op4_quality_rules": lambda s, d: quality.quality_query(table(s, d, "documents")),
         "op5_html_extraction": lambda s, d: htmltext.html_query(table(s, d, "pages")),
         "op6_language_id": lambda s, d: langid.langid_query(table(s, d, "documents")),
