@@ -24,13 +24,15 @@ pass through untouched.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobfacts.llm.common import cut, salted_join
+from jobfacts.llm.common import bounded, cut, salted_join
 
 PIECE = 256
 MIN_FUZZY = 20
+#: documents whose lists of line numbers may be broadcast
+MAX_DOCS = 400_000
 _TRIM = " \t\x0b\x0c\r"
 
 
@@ -48,7 +50,7 @@ def _lines(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
 
 def _equal_lines(lines: DataFrame) -> DataFrame:
     """Lines equal to an earlier one; two 64-bit hashes stand for the line."""
-    marked = lines.select("h1", F.xxhash64(F.lit(1), "line").alias("h2"), "doc_id", "line_no")
+    marked = cut(lines.select("h1", F.xxhash64(F.lit(1), "line").alias("h2"), "doc_id", "line_no"), "lines")
     repeated = cut(marked.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "line_no")).alias("first"))
                    .where("n > 1").drop("n"), "equal-lines")
     return (salted_join(marked, repeated, ["h1", "h2"]).select("h1", F.struct("doc_id", "line_no").alias("pos"), "first")
@@ -84,9 +86,9 @@ def _keys(lines: DataFrame, min_fuzzy: int) -> DataFrame:
 
 def _pieces(docs: DataFrame, shared: DataFrame, text: str, doc_id: str) -> DataFrame:
     """Rows (k, longer, h1, pos, piece) of the lines in ``shared``, with the piece's text."""
-    per_doc = shared.groupBy("doc_id").agg(F.collect_list(F.struct("k", "j", "longer", "h1", "line_no")).alias("wanted"))
+    per_doc = cut(shared.groupBy("doc_id").agg(F.collect_list(F.struct("k", "j", "longer", "h1", "line_no")).alias("wanted")), "wanted")
     texts = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("t"))
-    found = (per_doc.join(texts, F.col("doc_id").eqNullSafe(F.col("id")))
+    found = (texts.join(bounded(per_doc, MAX_DOCS), F.col("doc_id").eqNullSafe(F.col("id")))
              .select("doc_id", "wanted", F.split("t", "\n").alias("raw"))
              .select("doc_id", F.inline(F.transform("wanted", lambda x: F.struct(
                  x["k"].alias("k"), x["j"].alias("j"), x["longer"].alias("longer"), x["h1"].alias("h1"),
@@ -99,8 +101,8 @@ def _pieces(docs: DataFrame, shared: DataFrame, text: str, doc_id: str) -> DataF
 
 def _close_lines(docs: DataFrame, lines: DataFrame, text: str, doc_id: str, min_fuzzy: int) -> DataFrame:
     """Lines one edit away from an earlier, different line."""
-    keys = _keys(lines, min_fuzzy)
-    several = cut(keys.groupBy("k").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo < hi").select("k"), "line-keys")
+    keys = cut(_keys(lines, min_fuzzy), "line-keys")
+    several = cut(keys.groupBy("k").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo < hi").select("k"), "shared-keys")
     shared = (salted_join(keys, several, ["k"]).groupBy("k", "j", "longer", "h1")
               .agg(F.min(F.struct("doc_id", "line_no")).alias("pos")).select("k", "j", "longer", "h1", "pos.*"))
     pieces = cut(_pieces(docs, shared, text, doc_id), "line-pieces")
@@ -115,13 +117,13 @@ def _close_lines(docs: DataFrame, lines: DataFrame, text: str, doc_id: str, min_
     variants = pieces.select("k", "h1", "pos", "piece", F.inline(
         F.when(F.col("longer"), drop_one("cut", lambda p: F.lit(-1)))
         .otherwise(F.concat(whole, drop_one("swap", lambda p: p)))))
-    slim = variants.select("v", "kind", "h1", "pos", "k").distinct()
-    groups = (slim.groupBy("v").agg(
-        F.min("h1").alias("lo"), F.max("h1").alias("hi"), F.min(F.when(F.col("kind") == "cut", F.col("pos"))).alias("first_cut"),
-        F.min(F.when(F.col("kind") != "cut", F.col("pos"))).alias("first_other")).where("lo < hi"))
-    claims = (slim.join(groups, "v")
-              .withColumn("first", F.when(F.col("kind") == "whole", F.col("first_cut")).otherwise(F.col("first_other")))
-              .where("first < pos").select("k", "h1", "pos", "first").distinct())
+    # lines that share a variant differ in one character: their number is bounded by the alphabet
+    over = Window.partitionBy("v")
+    first_cut, first_other = [F.min(F.when(c, F.col("pos"))).over(over) for c in (F.col("kind") == "cut", F.col("kind") != "cut")]
+    claims = cut(variants.select("v", "kind", "h1", "pos", "k")
+                 .withColumns({"lo": F.min("h1").over(over), "hi": F.max("h1").over(over), "cut": first_cut, "other": first_other})
+                 .where("lo < hi").withColumn("first", F.when(F.col("kind") == "whole", F.col("cut")).otherwise(F.col("other")))
+                 .where("first < pos").select("k", "h1", "pos", "first").distinct(), "claims")
     mine = pieces.select("k", "h1", "pos", F.col("piece").alias("mine"))
     theirs = pieces.select("k", F.col("pos").alias("first"), F.col("piece").alias("theirs"))
     return (claims.join(mine, ["k", "h1", "pos"]).join(theirs, ["k", "first"])
@@ -147,8 +149,8 @@ def drop_repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_
                         min_fuzzy: int = MIN_FUZZY) -> DataFrame:
     """``doc`` (struct of the input columns), ``clean`` (text without repeated lines),
     ``n_lines`` (non-blank), ``n_equal`` and ``n_close`` (dropped lines)."""
-    drops = (repeated_lines(docs, text, doc_id, max_edits, min_fuzzy)
-             .groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "h1", "edits")).alias("drops")))
+    drops = bounded(cut(repeated_lines(docs, text, doc_id, max_edits, min_fuzzy).groupBy("doc_id")
+                        .agg(F.collect_list(F.struct("line_no", "h1", "edits")).alias("drops")), "drops"), MAX_DOCS)
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
                         F.col(f"`{doc_id}`").alias("id"), F.split(F.coalesce(F.col(f"`{text}`"), F.lit("")), "\n").alias("raw"))
     # rows that share a doc_id share its list, so each entry is held against the line it names
