@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from jobfacts.llm import decontam, htmltext, jaccard, langid, linededup, quality, sentencepieces, toxicity, warczip
+from jobfacts.llm import decontam, htmltext, jaccard, langid, licenses, linededup, quality, sentencepieces, toxicity, warczip
 from jobfacts.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,7 @@ def queries() -> dict[str, Query]:
         "op5_html_extraction": lambda s, d: htmltext.html_query(table(s, d, "pages")),
         "op6_language_id": lambda s, d: langid.langid_query(table(s, d, "documents")),
         "op7_ngram_jaccard_join": lambda s, d: jaccard.jaccard_query(table(s, d, "documents")),
+        "op8_license_scan": lambda s, d: licenses.license_query(table(s, d, "documents")),
         "op9_line_dedup": lambda s, d: linededup.line_dedup_query(table(s, d, "documents")),
         "op10_warc": lambda s, d: warczip.warc_query(s, table(s, d, "pages")),
         "pipeline": corpus_pipeline.run,
