@@ -99,8 +99,8 @@ def overlaps(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str
 
 def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that overlap with no item, input columns only."""
-    leaks = overlaps(docs, items).select(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_th"))
+    leaks = overlaps(docs, items).select(F.col("doc_id").alias("__id"), F.col("th").alias("__hash")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("__hash"))
     return docs.join(leaks, same, "left_anti")
 
 

@@ -259,8 +259,8 @@ def components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each component, the one with the smallest doc_id; input columns only."""
     dropped = (components(docs).where("NOT doc_id <=> component_id")
-               .select(F.col("doc_id").alias("_id"), F.col("vid").alias("_vid")).distinct())
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_vid"))
+               .select(F.col("doc_id").alias("__id"), F.col("vid").alias("__hash")).distinct())
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("__hash"))
     return docs.join(dropped, same, "left_anti")
 
 

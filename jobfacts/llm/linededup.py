@@ -180,7 +180,8 @@ def line_dedup_query(docs: DataFrame) -> DataFrame:
 
 
 def oracle_sql(source: str = "documents", min_fuzzy: int = MIN_FUZZY) -> str:
-    """DuckDB: edit distances of all pairs of distinct lines whose first or last characters agree."""
+    """DuckDB: compares all pairs of distinct lines whose first or last characters agree, place by
+    place (its own edit distance counts bytes)."""
     half = min_fuzzy // 2 - 1
     return f"""
 WITH l AS (SELECT doc_id, i AS line_no, raw, trim(raw, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line
@@ -190,7 +191,11 @@ d AS (SELECT line, min((doc_id, line_no)) AS first FROM l WHERE line <> '' GROUP
 f AS (SELECT *, length(line) AS n, left(line, {half}) AS head, right(line, {half}) AS tail FROM d WHERE length(line) >= {min_fuzzy}),
 pairs AS (SELECT a.line AS x, b.line AS y, a.first AS fx, b.first AS fy FROM f a JOIN f b ON a.head = b.head AND b.n BETWEEN a.n - 1 AND a.n + 1
           UNION SELECT a.line, b.line, a.first, b.first FROM f a JOIN f b ON a.tail = b.tail AND b.n BETWEEN a.n - 1 AND a.n + 1),
-close AS (SELECT DISTINCT x AS line FROM pairs WHERE fy < fx AND levenshtein(x, y) = 1),
+earlier AS (SELECT x, CASE WHEN length(x) < length(y) THEN x ELSE y END AS s, CASE WHEN length(x) < length(y) THEN y ELSE x END AS g
+            FROM pairs WHERE fy < fx),
+close AS (SELECT DISTINCT x AS line FROM earlier WHERE CASE WHEN length(s) = length(g)
+              THEN len(list_filter(range(1, length(s) + 1), lambda i: substr(s, i, 1) <> substr(g, i, 1))) = 1
+              ELSE len(list_filter(range(length(g)), lambda i: left(g, i) || substr(g, i + 2) = s)) > 0 END),
 v AS (SELECT l.doc_id, l.line_no, l.raw, l.line <> '' AS real,
              l.line <> '' AND d.first < (l.doc_id, l.line_no) AS equal, close.line IS NOT NULL AS close
       FROM l LEFT JOIN d ON d.line = l.line LEFT JOIN close ON close.line = l.line)

@@ -1,0 +1,81 @@
+import random
+import re
+
+from jobfacts.llm import decontam
+from tests.llm.helpers import DOCS, clashing, docs, duck, rows_of, sorted_rows, words
+
+
+def tokens(t):
+    return [w for w in re.split(r"[^\w]+", (t or "").lower()) if w]
+
+
+def brute(data, items):
+    """(doc_id, item_id): most words that agree in a stretch with a seed hit."""
+    bench = {}
+    for i, t in sorted(items, key=lambda x: x[0]):
+        bench.setdefault(tuple(tokens(t)), i)
+    span, out = len(decontam.MASKS[0]), {}
+    for d, t in data:
+        w = tokens(t)
+        for item, number in bench.items():
+            n, length = len(item), min(len(item), decontam.STRETCH)
+            if n < span:
+                continue
+            for diag in range(-n, len(w)):
+                same = [0 <= diag + p < len(w) and w[diag + p] == item[p] for p in range(n)]
+                for p in range(n - span + 1):
+                    if 0 <= diag + p <= len(w) - span and any(all(same[p + k] for k, b in enumerate(m) if b == "1") for m in decontam.MASKS):
+                        for s in range(max(p + span - length, 0), min(p, n - length) + 1):
+                            agree = sum(same[s:s + length])
+                            if 100 * agree >= decontam.SHARE * length:
+                                out[d, number] = max(out.get((d, number), 0), agree)
+    return out
+
+
+def sample():
+    rng = random.Random(8)
+    items = [(i, words(rng, n, 400)) for i, n in enumerate([3, 8, 9, 12, 13, 14, 30, 40])] + [(50, None), (51, "")]
+    items.append((60, items[6][1].upper()))
+    data = [(i, words(rng, rng.randrange(120), 400)) for i in range(40)]
+    for i in range(40):
+        own = items[rng.randrange(1, 8)][1].split()
+        for _ in range(rng.randrange(5)):
+            own[rng.randrange(len(own))] = "changed"
+        cut = own[rng.randrange(3):] if i % 4 == 0 else own
+        data.append((100 + i, words(rng, rng.randrange(30), 400) + ", " + "; ".join(cut) + ". " + words(rng, rng.randrange(30), 400)))
+    return data + [(200, None), (201, ""), (202, "..."), (203, items[7][1]), (203, items[7][1])], items
+
+
+def bench(spark, items):
+    return spark.createDataFrame(items, "item_id long, text string")
+
+
+def test_against_brute_force_and_both_joins(spark):
+    data, items = sample()
+    for limit in (decontam.MAX_BROADCAST, 0):
+        got = decontam.overlaps(clashing(docs(spark, data)), clashing(bench(spark, items).withColumnRenamed("item_id", "number")),
+                                item_id="number", max_broadcast=limit)
+        assert {(r.doc_id, r.item_id): r.agree for r in got.collect()} == brute(data, items)
+    assert len(brute(data, items)) > 20
+
+
+def test_sql_agrees(spark):
+    data, items = sample()
+    sql = duck({"documents": data, "benchmark": items}, {"documents": "doc_id BIGINT, text VARCHAR", "benchmark": "item_id BIGINT, text VARCHAR"},
+               decontam.oracle_sql())
+    assert sorted_rows(rows_of(decontam.decontamination_query(docs(spark, data), bench(spark, items)))) == sorted_rows(sql)
+
+
+def test_clean_documents_stay(spark):
+    data, items = sample()
+    df = clashing(docs(spark, data + [(None, None), (None, items[7][1])]))
+    kept = decontam.keep_clean(df, bench(spark, items))
+    leaks = {d for d, _ in brute(data, items)}
+    assert kept.columns == df.columns
+    assert sorted(map(repr, [r.doc_id for r in kept.collect()])) == sorted(map(repr, [d for d, _ in data if d not in leaks] + [None]))
+
+
+def test_empty_tables(spark):
+    data, items = sample()
+    assert decontam.overlaps(spark.createDataFrame([], DOCS), bench(spark, items)).collect() == []
+    assert decontam.overlaps(docs(spark, data), bench(spark, [])).collect() == []
