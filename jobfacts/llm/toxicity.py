@@ -127,7 +127,7 @@ class Automaton:
                     items.add((child, used))
                 elif used < self.bound[child]:
                     items.add((child, used + 1))
-            if node and used < self.bound[node]:
+            if used < self.bound[node]:
                 items.add((node, used + 1))
         return self._state(items)
 
