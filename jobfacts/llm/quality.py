@@ -135,8 +135,12 @@ def apply_rules(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = R
 
 
 def keep_good(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The input rows that pass, with the input columns."""
-    return apply_rules(docs, text, rules).where("kept").select("doc.*")
+    """The input rows that pass, with the input columns.
+
+    Rejected rows generate nothing: a filter would be pushed below the projections, where it
+    would compute the metrics anew for every word."""
+    judged = apply_rules(docs, text, rules)
+    return judged.select(F.explode(F.when(F.col("kept"), F.array("doc"))).alias("doc")).select("doc.*")
 
 
 def quality_query(docs: DataFrame) -> DataFrame:

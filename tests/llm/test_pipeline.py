@@ -1,0 +1,69 @@
+import random
+
+import sentencepiece
+
+import corpus_pipeline
+from jobfacts.llm import quality, sentencepieces
+from tests.llm import test_decontam, test_jaccard, test_linededup
+from tests.llm.helpers import clashing, docs, duck
+
+STOP = "the of and to in a is that for on".split()
+
+
+def corpus():
+    rng = random.Random(12)
+
+    def prose(n):
+        return " ".join(rng.choice(STOP) if rng.random() < 0.4 else f"word{rng.randrange(4000)}" for _ in range(n))
+
+    items = [(i, " ".join(f"item{rng.randrange(9000)}" for _ in range(20))) for i in range(4)]
+    shared = [prose(15) for _ in range(5)]
+    rows = []
+    for i in range(60):
+        rows.append("\n".join([prose(rng.randrange(5, 60)) for _ in range(rng.randrange(1, 4))] + rng.sample(shared, rng.randrange(2))))
+    for i in range(12):  # copies with a few words changed, on one line
+        own = rows[rng.randrange(8)].replace("\n", " ").split()
+        own[rng.randrange(len(own))] = "changed"
+        rows.append(" ".join(own))
+    rows += [rows[9], rows[10] + "x", prose(20) + " " + items[1][1] + " " + prose(20), "%% $$ " * 40, "same words here " * 30, None, "", "too short"]
+    order = list(range(len(rows)))
+    rng.shuffle(order)
+    return [(order[i], t) for i, t in enumerate(rows)], items
+
+
+def brute(data, items):
+    sql = duck({"documents": data}, {"documents": "doc_id BIGINT, text VARCHAR"}, "SELECT doc_id FROM (" + quality.oracle_sql() + ") WHERE kept")
+    good = {r[0] for r in sql}
+    first = [(i, t) for i, t in data if i in good]
+    lines = test_linededup.brute(first)
+    second = [(i, lines[i][0]) for i, _ in first if lines[i][1] > lines[i][2] + lines[i][3] or lines[i][2] + lines[i][3] == 0]
+    parts = test_jaccard.brute(second)
+    third = [(i, t) for i, t in second if parts[i][1] == i]
+    leaks = {d for d, _ in test_decontam.brute(third, items)}
+    library = sentencepiece.SentencePieceProcessor(model_file=sentencepieces.default_model())
+    return [first, second, third, [x for x in third if x[0] not in leaks]], {i: library.encode(t) for i, t in third if i not in leaks}
+
+
+def test_stages_against_brute_force(spark, tmp_path):
+    data, items = corpus()
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    stages, ids = brute(data, items)
+    df = clashing(docs(spark, data))
+    sizes = [len(data)]
+    for (name, stage), want in zip(corpus_pipeline.STAGES[:-1], stages):
+        out = stage(spark, df, str(tmp_path))
+        assert out.columns == df.columns
+        out.write.parquet(f"{tmp_path}/{name}")
+        df = spark.read.parquet(f"{tmp_path}/{name}")
+        assert sorted((r.doc_id, r.text) for r in df.collect()) == sorted(want), name
+        sizes.append(len(want))
+    assert all(a > b for a, b in zip(sizes[:1] + sizes[1:], sizes[1:])), sizes
+    assert {r.doc_id: r.ids for r in corpus_pipeline.STAGES[-1][1](spark, df, str(tmp_path)).collect()} == ids
+
+
+def test_run_and_names(spark, tmp_path):
+    data, items = corpus()
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs(spark, data).write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id: r.ids for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == brute(data, items)[1]
+    assert 4 <= len(corpus_pipeline.STAGES) <= 5 and corpus_pipeline.ORACLE_SQL is None
