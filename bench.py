@@ -22,7 +22,6 @@ from jobfacts.session import local_session  # noqa: E402
 
 HEADLINE = (
     "job_fact",            # the flagship: 55-column fact, set-based plan
-    "job_fact_literal",    # same result, the modelled job's literal shape
     "job_fact_live_only",  # same result, children semi-joined to live jobs first
     "job_spine",
     "response_flags",
@@ -50,11 +49,7 @@ def run_once(build) -> float:
 
 def plan_stats(spark, df) -> dict:
     """Shape of the static plan (AQE off): shuffles, joins and scans Catalyst chose."""
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        plan = df._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    plan = df._jdf.queryExecution().executedPlan().toString()
     return {"exchanges": len(re.findall(r"Exchange hashpartitioning", plan)),
             "sort_merge_joins": plan.count("SortMergeJoin"),
             "broadcast_joins": plan.count("BroadcastHashJoin"),
@@ -78,7 +73,15 @@ def main() -> None:
         run_once(build)  # warm-up: JIT, file listing, broadcast of code slices
         samples = [run_once(build) for _ in range(repeat)]
         times[name] = round(statistics.median(samples), 3)
-    plans = {n: plan_stats(spark, qs[n](spark, sf_dir)) for n in ("job_fact", "job_fact_literal") if n in qs}
+    # the plan as chosen at this size, and as chosen where nothing may be broadcast
+    plans = {}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    for n in ("job_fact", "job_fact_live_only", "distinct_then_count", "check_foreign_key"):
+        plans[n] = plan_stats(spark, qs[n](spark, sf_dir))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plans[f"{n} without broadcast"] = plan_stats(spark, qs[n](spark, sf_dir))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(64 * 1024 * 1024))
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
     print(json.dumps({
         "metric": "job_fact_sec",
         "value": times.get("job_fact"),

@@ -8,8 +8,7 @@ Sub-packages:
                     decimal-hour arithmetic, flags
 * ``operators``  -- DataFrame-in / DataFrame-out building blocks: the job spine, the
                     per-job rollups (branches), range join, latest-with-dedupe
-* ``plans``      -- the assembled fact (set-based and literal forms), key checks, sink
-* ``streaming``  -- intentionally empty: the modelled job is a batch full refresh
+* ``plans``      -- the assembled fact (one row per job), key checks, sink
 """
 
 __all__ = ["constants", "session"]

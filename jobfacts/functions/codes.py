@@ -19,19 +19,16 @@ def code_slice(codes: DataFrame, namespace: str, code_alias: str, name_alias: st
     return codes.filter(cond).select(F.col("code").alias(code_alias), F.col("code_name").alias(name_alias))
 
 
-def decode(df: DataFrame, codes: DataFrame, column: str, how: str = "inner",
-           broadcast: bool = True) -> DataFrame:
+def decode(df: DataFrame, codes: DataFrame, column: str, how: str = "inner") -> DataFrame:
     """Join ``df[column]`` to a code slice whose key column is also named ``column``.
 
     ``how="inner"`` drops rows whose code is unknown (or NULL); ``how="left"`` keeps them
-    with a NULL name.  A code slice is one enumeration -- a handful of rows whose number
-    does not grow with the data -- so it is broadcast and the decode is a map-side
-    hash lookup with no shuffle of ``df``.
+    with a NULL name.  A code slice is a few inline rows of known size, so Spark chooses the
+    map-side look-up by itself; a large code table would be joined by a shuffle.
     """
     if how not in ("inner", "left"):
         raise ValueError("decode joins are inner or left")
-    right = F.broadcast(codes) if broadcast else codes
-    return df.join(right, on=column, how=how)
+    return df.join(codes, on=column, how=how)
 
 
 def label_normalize(name: Column) -> Column:

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 _INT_TYPES = (T.ByteType, T.ShortType, T.IntegerType)
 
 
-def _stand_in(dtype: T.DataType, spread_by: str) -> Column | None:
+def _stand_in(dtype: T.DataType, spread_by: str) -> Column:
     h = F.xxhash64(F.col(spread_by))
     if isinstance(dtype, T.LongType):
         return h
@@ -26,7 +26,7 @@ def _stand_in(dtype: T.DataType, spread_by: str) -> Column | None:
         return F.pmod(h, F.lit(2**31 - 1)).cast(dtype)
     if isinstance(dtype, T.StringType):
         return F.concat(F.lit("\u0000"), h.cast("string"))
-    return None
+    raise TypeError(f"look-ups by integers and strings only, not by {dtype.simpleString()}")
 
 
 def left_lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str, spread_by: str,
@@ -41,8 +41,6 @@ def left_lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str
     if eligible is not None:
         usable = usable & eligible
     stand_in = _stand_in(left.schema[left_key].dataType, spread_by)
-    if stand_in is None:
-        return left.join(right, (left[left_key] == right[right_key]) & usable, "left")
     keyed = left.withColumn("_lookup_key", F.when(usable, F.col(left_key)).otherwise(stand_in))
     cond = (keyed["_lookup_key"] == right[right_key]) & usable
     return keyed.join(right, cond, "left").drop("_lookup_key")

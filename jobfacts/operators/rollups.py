@@ -13,9 +13,6 @@ rows out before aggregating (notes x files, approvers x history, line items x in
 authors), the fan-out side is pre-aggregated to one row per join key first, so no hot
 key is multiplied.  ``first_per_key`` uses ``row_number() = 1``, which Spark plans as a
 partial ``WindowGroupLimit`` before the shuffle: a hot job ships one row per map task.
-
-Functions whose name ends in ``_literal`` keep the job's own shape (window + dedupe,
-fan-out then count, distinct then count) for equivalence tests and the benchmark.
 """
 
 from __future__ import annotations
@@ -36,13 +33,6 @@ INVOICE_COLUMNS = ("vendor_created_invoices", "staff_created_invoices", "total_i
                    "last_invoice_created_at")
 
 
-def _within_spine(child: DataFrame, spine: DataFrame | None, key: str) -> DataFrame:
-    """Literal form only: keep the child rows of live jobs (inner join to the spine)."""
-    if spine is None:
-        return child
-    return child.join(spine.select(F.col("job_id").alias(key)), on=key, how="inner")
-
-
 # -- C10 / C11: invitation response flags ---------------------------------------------
 def _decoded_invitations(invitations: DataFrame, codes: DataFrame) -> DataFrame:
     status = code_slice(codes, K.NS_INVITATION_STATUS, "status", "status_name")
@@ -83,17 +73,6 @@ def _to_whole_hours(seconds: Column) -> Column:
     return hours_from_seconds(seconds, scale=0)
 
 
-def response_flags_literal(invitations: DataFrame, codes: DataFrame, spine: DataFrame) -> DataFrame:
-    """The window form (C11): partition-wide MAX windows, then keep the latest row."""
-    inv = _within_spine(_decoded_invitations(invitations, codes), spine, "job_id")
-    whole = Window.partitionBy("job_id")
-    latest = Window.partitionBy("job_id").orderBy(F.col("updated_at").desc_nulls_first())
-    cols = [F.max(c).over(whole).alias(n) for n, c in _invitation_measures().items()]
-    ranked = inv.select("job_id", *cols, F.row_number().over(latest).alias("_rn"))
-    first = ranked.filter(F.col("_rn") == 1).drop("_rn")
-    return first.withColumn("hours_to_accept", _to_whole_hours(F.col("hours_to_accept")))
-
-
 # -- C12: note and attachment counts ----------------------------------------------------
 def _job_notes(notes: DataFrame, codes: DataFrame) -> DataFrame:
     ref = code_slice(codes, K.NS_NOTE_REFERENCE, "reference_type", "reference_kind")
@@ -129,25 +108,6 @@ def fanout_counts(notes: DataFrame, note_files: DataFrame, codes: DataFrame) ->
     )
 
 
-def fanout_counts_literal(notes: DataFrame, note_files: DataFrame, codes: DataFrame,
-                          spine: DataFrame) -> DataFrame:
-    """The job's own shape: join notes to files row by row, then count."""
-    n = _within_spine(_job_notes(notes, codes), spine, "reference_id")
-    f = note_files.withColumnRenamed("note_id", "_file_note")
-    j = n.join(f, n["note_id"] == f["_file_note"], "left")
-    has_file = F.col("file_id").isNotNull()
-    vendor = F.col("author_kind") == K.KIND_VENDOR
-    staff = F.col("author_kind") == K.KIND_STAFF
-    return j.groupBy(F.col("reference_id").alias("job_id")).agg(
-        F.sum(flag01(vendor)).alias("vendor_notes"),
-        F.sum(flag01(staff)).alias("staff_notes"),
-        F.sum(flag01(vendor & has_file)).alias("vendor_attachments"),
-        F.sum(flag01(staff & has_file)).alias("staff_attachments"),
-        F.count("note_id").alias("total_notes"),
-        F.count("file_id").alias("total_attachments"),
-    )
-
-
 # -- C13: first row per key -------------------------------------------------------------
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each key group under ``order`` (ties must be broken in ``order``).
@@ -162,14 +122,13 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
 SCHEDULE_TIE_BREAK = ("line_number", "part_key", "supplier_key")
 
 
-def first_schedule(scheduled: DataFrame, tie_break: Sequence[str] = SCHEDULE_TIE_BREAK,
-                   spine: DataFrame | None = None) -> DataFrame:
+def first_schedule(scheduled: DataFrame, tie_break: Sequence[str] = SCHEDULE_TIE_BREAK) -> DataFrame:
     """The earliest live schedule row per job: its local creation time and date.
 
     Earliest = ``created_at`` ascending with NULLs last; equal times are broken by
     ``tie_break`` (the job leaves them arbitrary).
     """
-    s = _within_spine(scheduled.filter(F.col("removed") == 0), spine, "job_id")
+    s = scheduled.filter(F.col("removed") == 0)
     order = [F.col("created_at").asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tie_break]]
     first = first_per_key(s, ["job_id"], order)
     return first.select("job_id",
@@ -178,8 +137,8 @@ def first_schedule(scheduled: DataFrame, tie_break: Sequence[str] = SCHEDULE_TIE
 
 
 # -- C14-C16: line items, invoice counts and amounts ----------------------------------
-def bridge_join(bridge: DataFrame, line_items: DataFrame, invoices: DataFrame) -> DataFrame:
-    """Line items of each job with their (live, paid) invoice (C14).
+def bridge_join(bridge: DataFrame, line_items: DataFrame, invoices: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """Line items of each job with their (live, paid) invoice (C14) and its columns ``carry``.
 
     A NULL invoice flag fails the equality and drops the row, as in the job.
     """
@@ -187,10 +146,10 @@ def bridge_join(bridge: DataFrame, line_items: DataFrame, invoices: DataFrame) -
                            & (F.col("is_deleted") == F.lit(False)))
     # the invoice lookup first: it filters, and as a dimension it is usually broadcast,
     # so the line-item stream shrinks before the bridge join shuffles it
-    items = line_items.join(live.select("invoice_id", "invoice_date", "created_date"), on="invoice_id", how="inner")
+    items = line_items.join(live.select("invoice_id", "invoice_date", "created_date", *carry), on="invoice_id", how="inner")
     items = bridge.join(items, on=list(LINE_ITEM_KEY), how="inner")
     return items.select("job_id", "amount", "invoice_id", "invoice_date",
-                        F.col("created_date").alias("created_at"))
+                        F.col("created_date").alias("created_at"), *carry)
 
 
 def _invoice_authors(invoice_authors: DataFrame, codes: DataFrame) -> DataFrame:
@@ -210,72 +169,52 @@ def _invoice_aggregates(count_weight: Column, vendor: Column, staff: Column) ->
     ]
 
 
-def invoice_counts_literal(line_items: DataFrame, invoice_authors: DataFrame, codes: DataFrame,
-                           spine: DataFrame | None = None) -> DataFrame:
-    """Distinct (job, invoice, dates, author kind) rows, then counted per job.
+def sum_amount(line_items: DataFrame) -> DataFrame:
+    """Invoice amount per job: the sum over all line items."""
+    return line_items.groupBy("job_id").agg(F.sum("amount").cast(K.MONEY_SUM_TYPE).alias("invoice_amount"))
 
-    An invoice on several line items counts once; one with two author kinds counts twice.
-    """
-    li = _within_spine(line_items, spine, "job_id")
-    details = (li.join(_invoice_authors(invoice_authors, codes), on="invoice_id", how="left")
-                 .select("job_id", "invoice_id", "invoice_date", "created_at", "author_kind")
-                 .distinct())
-    return details.groupBy("job_id").agg(
-        F.count_if(F.col("author_kind") == K.KIND_VENDOR).alias("vendor_created_invoices"),
-        F.count_if(F.col("author_kind") == K.KIND_STAFF).alias("staff_created_invoices"),
-        F.count("job_id").alias("total_invoices"),
-        F.min("invoice_date").alias("first_invoice_date"),
-        F.min("created_at").alias("first_invoice_created_at"),
-        F.max("invoice_date").alias("last_invoice_date"),
-        F.max("created_at").alias("last_invoice_created_at"),
-    )
 
+AUTHOR_COLUMNS = ("_kinds", "_vendor", "_staff")
 
-def sum_amount(line_items: DataFrame, spine: DataFrame | None = None) -> DataFrame:
-    """Invoice amount per job: the sum over all line items."""
-    li = _within_spine(line_items, spine, "job_id")
-    return li.groupBy("job_id").agg(F.sum("amount").cast(K.MONEY_SUM_TYPE).alias("invoice_amount"))
 
+def with_authors(invoices: DataFrame, invoice_authors: DataFrame, codes: DataFrame) -> DataFrame:
+    """Invoices with the number of their distinct author kinds (a NULL kind, or no author,
+    counts as one) and whether a vendor and a staff member are among them."""
+    per_invoice = _invoice_authors(invoice_authors, codes).distinct().groupBy("invoice_id").agg(
+        F.count(F.lit(1)).alias("_kinds"),
+        F.max(flag01(F.col("author_kind") == K.KIND_VENDOR)).cast("bigint").alias("_vendor"),
+        F.max(flag01(F.col("author_kind") == K.KIND_STAFF)).cast("bigint").alias("_staff"))
+    return invoices.join(per_invoice, on="invoice_id", how="left").fillna({"_kinds": 1, "_vendor": 0, "_staff": 0})
 
-def invoice_rollup(line_items: DataFrame, invoice_authors: DataFrame, codes: DataFrame) -> DataFrame:
-    """Amount and invoice counts in one pass over the line items (C15 + C16 merged).
 
-    1. line items -> one row per (job, invoice, invoice date, created time) with the
-       summed amount (partial aggregation shrinks the stream before its shuffle);
-    2. authors -> one row per invoice: how many distinct author kinds it has (a NULL
-       kind counts as one value) and whether VENDOR / STAFF are among them;
-    3. join 1 and 2 on the invoice (1:1, no fan-out) and aggregate per job.
+def invoice_rollup(bridge: DataFrame, line_items: DataFrame, invoices: DataFrame, invoice_authors: DataFrame,
+                   codes: DataFrame) -> DataFrame:
+    """Amount and invoice counts in one pass over the line items (C15 + C16 merged).
 
-    Counting ``max(kinds, 1)`` per invoice row is exactly the job's count of distinct
-    (job, invoice, dates, kind) tuples; the amount is summed once per invoice row, i.e.
-    over all line items, as the job's separate amount branch does.
+    Author kinds are facts of the invoice, so they ride along with the one invoice look-up
+    that the line items need anyway.  Line items then shrink to one row per (job, invoice,
+    dates) with the summed amount, and these to one per job: adding up ``_kinds`` is the
+    count of distinct (job, invoice, dates, kind), and every line item's amount is summed
+    once, as in the separate amount branch.
     """
-    per_invoice = line_items.groupBy("job_id", "invoice_id", "invoice_date", "created_at").agg(
-        F.sum("amount").alias("_amount"))
-    kinds = _invoice_authors(invoice_authors, codes).distinct()
-    per_author = kinds.groupBy("invoice_id").agg(
-        F.count(F.lit(1)).alias("_kinds"),
-        F.max(flag01(F.col("author_kind") == K.KIND_VENDOR)).alias("_vendor"),
-        F.max(flag01(F.col("author_kind") == K.KIND_STAFF)).alias("_staff"))
-    j = per_invoice.join(per_author, on="invoice_id", how="left")
-    return j.groupBy("job_id").agg(
+    rows = bridge_join(bridge, line_items, with_authors(invoices, invoice_authors, codes), AUTHOR_COLUMNS)
+    per_invoice = rows.groupBy("job_id", "invoice_id", "invoice_date", "created_at").agg(
+        F.sum("amount").alias("_amount"), *[F.max(c).alias(c) for c in AUTHOR_COLUMNS])
+    return per_invoice.groupBy("job_id").agg(
         F.sum("_amount").cast(K.MONEY_SUM_TYPE).alias("invoice_amount"),
-        *_invoice_aggregates(F.coalesce(F.col("_kinds"), F.lit(1)),
-                             F.coalesce(F.col("_vendor"), F.lit(0)).cast("bigint"),
-                             F.coalesce(F.col("_staff"), F.lit(0)).cast("bigint")),
+        *_invoice_aggregates(F.col("_kinds"), F.col("_vendor"), F.col("_staff")),
     )
 
 
 # -- C17: logged hours --------------------------------------------------------------------
-def logged_hours(time_tracking: DataFrame, codes: DataFrame, scale: int = 0,
-                 spine: DataFrame | None = None) -> DataFrame:
+def logged_hours(time_tracking: DataFrame, codes: DataFrame, scale: int = 0) -> DataFrame:
     """Hours logged against each job, summed exactly and rounded to ``scale`` (C17).
 
     Only entries whose object kind is the job kind count (the decode is the filter).
     Seconds are summed as integers and divided once, so the total is exact.
     """
     kind = code_slice(codes, K.NS_TRACKING_OBJECT, "object_type", "object_kind", code_name=K.KIND_JOB)
-    tt = _within_spine(decode(time_tracking, kind, "object_type", how="inner"), spine, "object_id")
+    tt = decode(time_tracking, kind, "object_type", how="inner")
     seconds = epoch_seconds(F.col("end_period")) - epoch_seconds(F.col("start_period"))
     agg = tt.groupBy(F.col("object_id").alias("job_id")).agg(F.sum(seconds).alias("_seconds"))
     return agg.select("job_id", hours_from_seconds(F.col("_seconds"), scale).alias("logged_hours"))
@@ -304,17 +243,3 @@ def first_status_times(approvals: DataFrame, approvers: DataFrame, history: Data
     return a.groupBy(F.col("related_entity_id").alias("job_id")).agg(
         F.min("_requested").alias("authorization_requested"),
         F.min("_approved").alias("authorization_approved"))
-
-
-def first_status_times_literal(approvals: DataFrame, approvers: DataFrame, history: DataFrame,
-                               jobs: DataFrame) -> DataFrame:
-    """The job's shape: jobs x approvals x approvers x history, then MIN per job."""
-    j = jobs.select("job_id").join(approvals, jobs["job_id"] == approvals["related_entity_id"])
-    j = j.join(approvers.select(F.col("approval_id").alias("_a")), F.col("approval_id") == F.col("_a"))
-    h = history.withColumnRenamed("approval_id", "_h")
-    j = j.join(h, F.col("_a") == F.col("_h"))
-    return j.groupBy("job_id").agg(
-        F.min(F.when(F.col("approval_status").isin(*K.APPROVAL_REQUESTED_CODES), F.col("updated_at")))
-         .alias("authorization_requested"),
-        F.min(F.when(F.col("approval_status").isin(*K.APPROVAL_APPROVED_CODES), F.col("updated_at")))
-         .alias("authorization_approved"))

@@ -2,8 +2,8 @@
 
 Plan shape: jobs are decoded against two broadcast code slices and filtered *before*
 the shuffle that joins them to their requests, so cancelled jobs never cross the
-network; the property lookup is a LEFT join whose NULL asset keys are spread over
-all partitions (``operators.lookup``) in case the dimension is not broadcast.
+network; the property is looked up for the requests, which are fewer and narrower than
+the jobs, with NULL asset keys spread over all partitions (``operators.lookup``).
 """
 
 from __future__ import annotations
@@ -41,10 +41,9 @@ def live_jobs(jobs: DataFrame, codes: DataFrame) -> DataFrame:
 
 
 def job_spine(requests: DataFrame, jobs: DataFrame, codes: DataFrame, properties: DataFrame) -> DataFrame:
-    live = live_jobs(jobs, codes)
-    spine = requests.join(live, on="service_request_id", how="inner")
     props = properties.withColumnRenamed("asset_id", "_asset")
-    spine = left_lookup(spine, props, "asset_id", "_asset", "job_id").drop("_asset")
+    located = left_lookup(requests, props, "asset_id", "_asset", "service_request_id").drop("_asset")
+    spine = located.join(live_jobs(jobs, codes), on="service_request_id", how="inner")
     return spine.select(
         "job_id", "external_id", "created_at", "completed_at", "scope_of_work", "summary",
         "service_request_id", "lease_flow_id", "request_type", "assigned_vendor_id",

@@ -6,22 +6,23 @@ the dedupe winners.  A flagged row can lose the dedupe; its request/worker then
 survey columns.  Ties are arbitrary in the job; here both orders end in explicit
 tie-breaks (parameters) so results are deterministic.
 
-Set-based form (skew-safe): both row numbers are top-1 selections, so each is computed
-with ``row_number() = 1`` (partial ``WindowGroupLimit`` before the shuffle).  A dedupe
-winner carries the flag iff it is its (request, worker) group's latest row; the
-comparison is a 1:1 join on the flag key plus the flag's order columns.  No window ever
-sorts a whole hot group and nothing is multiplied.
+Both row numbers are firsts, so the rating rows are reduced once, by (request, worker,
+survey, question type), to the best row under each order.  The flag's first per (request,
+worker) and the dedupe's first per (survey, worker, question type) are then minima over
+these few rows: partial aggregation keeps a hot group from ever meeting in one task before
+it is small, and the questions are scanned and joined once.  A winner carries the flag iff
+it is its group's latest row; groups match null-safe, as NULL workers form a group too.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobfacts import constants as K
-from jobfacts.operators.rollups import first_per_key
 
 RATING_COLUMNS = ("survey_id", "question_id", "survey_created_at", "vendor_or_tech_rating",
                   "vendor_tech_csat_comment")
@@ -29,32 +30,38 @@ FLAG_KEYS = ("service_request_id", "vendor_or_tech_id")
 DEDUPE_KEYS = ("survey_id", "vendor_or_tech_id", "question_type_id")
 
 
-def flag_order() -> list[Column]:
-    """Latest first; NULL times count as the latest (they sort high in the job's dialect).
+_DETAIL = ("survey_id", "service_request_id", "question_id", "question_type_id", "question_type", "survey_text",
+           "vendor_or_tech_id", "vendor_or_tech_rating", "survey_created_at", "vendor_tech_csat_comment")
+
+
+def _nulls_last(column: str) -> list[Column]:
+    """Two sort keys, ascending, that put NULL after all values."""
+    return [F.col(column).isNull().alias(f"{column}_null"), F.col(column).alias(column)]
+
+
+def _latest_first(column: str) -> list[Column]:
+    """Two sort keys, ascending: NULL times first (they sort high in the job's dialect), then the newest."""
+    return [F.col(column).isNotNull().alias(f"{column}_set"), (-F.unix_micros(F.col(column).cast("timestamp"))).alias(f"{column}_desc")]
+
 
-    The job leaves ties arbitrary; the tie-breaks (question, survey, comment) make the
-    order total over distinct rows, so both row numbers -- and the oracle -- agree.
-    """
-    return [F.col("survey_created_at").desc_nulls_first(), F.col("question_id").asc_nulls_last(),
-            F.col("survey_id").asc_nulls_last(), F.col("vendor_tech_csat_comment").asc_nulls_last()]
+def flag_order() -> list[Column]:
+    """Latest first; question, survey and comment break ties that the job leaves open."""
+    return [*_latest_first("survey_created_at"), *_nulls_last("question_id"), *_nulls_last("survey_id"),
+            *_nulls_last("vendor_tech_csat_comment")]
 
 
 def dedupe_order() -> list[Column]:
     """The job orders by a partition column; the tie-break picks the lowest question id,
     then the newest survey row (request and comment settle copies of a survey id)."""
-    return [F.col("question_id").asc_nulls_last(), F.col("survey_created_at").desc_nulls_first(),
-            F.col("service_request_id").asc_nulls_last(), F.col("vendor_tech_csat_comment").asc_nulls_last()]
-
-
-# columns of ``flag_order``: a dedupe winner is the flagged row iff it matches on these
-FLAG_ORDER_COLUMNS = ("survey_created_at", "question_id", "survey_id", "vendor_tech_csat_comment")
+    return [*_nulls_last("question_id"), *_latest_first("survey_created_at"), *_nulls_last("service_request_id"),
+            *_nulls_last("vendor_tech_csat_comment")]
 
 
 def rating_rows(questions: DataFrame, question_types: DataFrame, csat: DataFrame) -> DataFrame:
     """Vendor/technician rating answers joined to their survey (filtered input of C20)."""
     q = questions.filter(F.col("question_type_id").isin(*K.RATING_QUESTION_TYPES))
-    # question types: an enumeration (bounded), joined for existence and its labels
-    q = q.join(F.broadcast(question_types), on="question_type_id", how="inner")
+    # question types: an enumeration, joined for existence and its labels
+    q = q.join(question_types, on="question_type_id", how="inner")
     s = csat.select("survey_id", F.col("related_entity_id").alias("service_request_id"),
                     F.col("surveyed_time").alias("survey_created_at"),
                     F.col("comment").alias("vendor_tech_csat_comment"))
@@ -67,53 +74,33 @@ def rating_rows(questions: DataFrame, question_types: DataFrame, csat: DataFrame
         "survey_created_at", "vendor_tech_csat_comment")
 
 
-def _flag_marks(rows: DataFrame, flag_keys: Sequence[str], order: Sequence[Column],
-                order_columns: Sequence[str]) -> DataFrame:
-    latest = first_per_key(rows, flag_keys, order)
-    return latest.select(*flag_keys, *[F.col(c).alias(f"_latest_{c}") for c in order_columns])
-
-
-def _is_latest(order_columns: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for c in order_columns:
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_latest_{c}"))
-    return cond
-
+def _ranked(rows: DataFrame, dedupe: Sequence[Column] | None) -> tuple[DataFrame, DataFrame]:
+    """(latest row per flag group, winner per dedupe group), each with its sort keys and row."""
+    row = F.struct(*_DETAIL).alias("row")
+    best = rows.groupBy("service_request_id", "vendor_or_tech_id", "survey_id", "question_type_id").agg(
+        F.min(F.struct(F.struct(*flag_order()).alias("by"), row)).alias("flag"),
+        F.min(F.struct(F.struct(*(dedupe or dedupe_order())).alias("by"), row)).alias("dedupe"))
+    latest = best.groupBy(*FLAG_KEYS).agg(F.min("flag").alias("latest"))
+    winners = best.groupBy(*DEDUPE_KEYS).agg(F.min("dedupe").alias("winner")).select("winner.row.*")
+    return latest, winners
 
-def latest_flag_with_dedupe(rows: DataFrame, flag_keys: Sequence[str] = FLAG_KEYS,
-                            order: Sequence[Column] | None = None,
-                            order_columns: Sequence[str] = FLAG_ORDER_COLUMNS,
-                            dedupe_keys: Sequence[str] = DEDUPE_KEYS,
-                            dedupe: Sequence[Column] | None = None) -> DataFrame:
-    """Dedupe winners, each with ``latest_survey`` (C20), set-based.
 
-    ``order`` must be total within a flag group once ``order_columns`` are compared.
-    """
-    order = list(order) if order is not None else flag_order()
-    dedupe = list(dedupe) if dedupe is not None else dedupe_order()
-    winners = first_per_key(rows, dedupe_keys, dedupe)
-    marks = _flag_marks(rows, flag_keys, order, order_columns)
-    out = winners.join(marks, on=list(flag_keys), how="left")
-    flag = F.coalesce(_is_latest(order_columns), F.lit(False))
-    return out.select(*rows.columns, flag.alias("latest_survey"))
+def _with_flag(rows: DataFrame, dedupe: Sequence[Column] | None = None) -> DataFrame:
+    latest, winners = _ranked(rows, dedupe)
+    marks = latest.select(*[F.col(k).alias(f"_{k}") for k in FLAG_KEYS], F.col("latest.row").alias("_latest"))
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in FLAG_KEYS])
+    return winners.join(marks, same, "left").select(
+        *_DETAIL, F.col("_latest").eqNullSafe(F.struct(*_DETAIL)).alias("latest_survey"))
 
 
-def latest_flag_with_dedupe_literal(rows: DataFrame, flag_keys: Sequence[str] = FLAG_KEYS,
-                                    dedupe_keys: Sequence[str] = DEDUPE_KEYS) -> DataFrame:
-    """The job's shape: both row numbers as window columns, then the dedupe filter."""
-    flag_w = Window.partitionBy(*flag_keys).orderBy(*flag_order())
-    dedupe_w = Window.partitionBy(*dedupe_keys).orderBy(*dedupe_order())
-    ranked = (rows.withColumn("latest_survey", F.row_number().over(flag_w) == 1)
-                  .withColumn("_dedupe", F.row_number().over(dedupe_w)))
-    return ranked.filter(F.col("_dedupe") == 1).drop("_dedupe")
+def latest_flag_with_dedupe(rows: DataFrame, dedupe: Sequence[Column] | None = None) -> DataFrame:
+    """Dedupe winners, each with ``latest_survey`` (C20); ``dedupe`` are ascending sort keys."""
+    return _with_flag(rows, dedupe).select(*rows.columns, "latest_survey")
 
 
 def latest_ratings(rows: DataFrame) -> DataFrame:
     """Only the dedupe winners that carry the latest flag: at most one per (request, worker)."""
-    winners = first_per_key(rows, DEDUPE_KEYS, dedupe_order())
-    marks = _flag_marks(rows, FLAG_KEYS, flag_order(), FLAG_ORDER_COLUMNS)
-    joined = winners.join(marks, on=list(FLAG_KEYS), how="inner").filter(_is_latest(FLAG_ORDER_COLUMNS))
-    return joined.select(*FLAG_KEYS, *RATING_COLUMNS)
+    return _with_flag(rows).filter("latest_survey").select(*FLAG_KEYS, *RATING_COLUMNS)
 
 
 def two_key_latest_join(workers: DataFrame, ratings: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """The job fact (C22-C24): spine + dimension lookups + job-keyed branches, 55 columns.
 
-``job_fact`` is the set-based plan:
+The plan:
 
 * the spine is built once (jobs decoded and filtered before their only shuffle with
   the requests);
@@ -15,10 +15,7 @@
 * the assembly is a chain of LEFT sort-merge joins on ``job_id`` that reuses one
   hash partitioning (one exchange per input, none between joins).
 
-``job_fact_literal`` keeps the modelled job's shape (each branch re-joins the spine,
-windows + dedupe, fan-out then count, survey joined last on two keys) for equivalence
-tests and the benchmark.  Both return the same rows when the spine key is unique,
-which ``plans.checks`` verifies.
+The dimensions must be unique on their keys; ``plans.sink`` checks that before it writes.
 """
 
 from __future__ import annotations
@@ -83,7 +80,7 @@ def _final_columns() -> list[Column]:
     return [derived[c].alias(c) if c in derived else F.col(c) for c in FACT_COLUMNS]
 
 
-# -- C24: the set-based plan --------------------------------------------------------------
+# -- C24: the plan -----------------------------------------------------------------------
 def job_fact(r: Roles, live_only: bool = False) -> DataFrame:
     """The fact.  ``live_only=True`` semi-joins every child table to the live job keys
     before it is aggregated: worth it when the spine keeps a small share of all jobs
@@ -93,7 +90,8 @@ def job_fact(r: Roles, live_only: bool = False) -> DataFrame:
     jobs = dimensions.resolve_worker(spine, r.vendors, r.users)
     jobs = dimensions.attach_rates(jobs, r.rates)
 
-    live_ids = spine.select("job_id")
+    # live keys from the jobs table and its codes alone, not from the joined spine
+    live_ids = spine_ops.live_jobs(r.jobs, r.codes).select("job_id")
 
     def live(df: DataFrame, key: str = "job_id") -> DataFrame:
         if not live_only:
@@ -106,12 +104,11 @@ def job_fact(r: Roles, live_only: bool = False) -> DataFrame:
     workers = live(r.jobs).select("job_id", "service_request_id",
                                   F.coalesce("assigned_staff_id", "assigned_vendor_id").alias("worker_id"))
     ratings = survey.latest_ratings(survey.rating_rows(r.survey_questions, r.question_types, r.csat))
-    line_items = rollups.bridge_join(live(r.bridge), r.line_items, r.invoices)
     branches = [
         rollups.response_flags(live(r.invitations), r.codes),
         rollups.fanout_counts(live(r.notes, "reference_id"), r.note_files, r.codes),
         rollups.first_schedule(live(r.scheduled_services)),
-        rollups.invoice_rollup(line_items, r.invoice_authors, r.codes),
+        rollups.invoice_rollup(live(r.bridge), r.line_items, r.invoices, r.invoice_authors, r.codes),
         rollups.logged_hours(live(r.time_tracking, "object_id"), r.codes),
         rollups.first_status_times(live(r.approvals, "related_entity_id"), r.approvers, r.approval_history),
         ranges.move_in_flag(local, r.requests, r.leases, K.SERVICE_REQUEST_TYPE, K.MOVE_IN_WINDOW_DAYS),
@@ -123,35 +120,6 @@ def job_fact(r: Roles, live_only: bool = False) -> DataFrame:
     return fact.select(*_final_columns())
 
 
-# -- C24, literal shape ---------------------------------------------------------------------
-def job_fact_literal(r: Roles) -> DataFrame:
-    spine = spine_ops.job_spine(r.requests, r.jobs, r.codes, r.properties)
-    all_jobs = spine_ops.local_jobs(r.jobs)
-    worker = dimensions.worker_branch(spine, r.vendors, r.users)
-    line_items = rollups.bridge_join(r.bridge, r.line_items, r.invoices)
-    branches = [
-        rollups.response_flags_literal(r.invitations, r.codes, spine),
-        rollups.fanout_counts_literal(r.notes, r.note_files, r.codes, spine),
-        rollups.first_schedule(r.scheduled_services, spine=spine),
-        rollups.invoice_counts_literal(line_items, r.invoice_authors, r.codes, spine),
-        rollups.sum_amount(line_items, spine),
-        rollups.logged_hours(r.time_tracking, r.codes, spine=spine),
-        rollups.first_status_times_literal(r.approvals, r.approvers, r.approval_history, all_jobs),
-        ranges.move_in_matches(spine, r.leases, K.SERVICE_REQUEST_TYPE, K.MOVE_IN_WINDOW_DAYS)
-              .select("job_id", F.lit(1).alias("within_move_in")),
-        dimensions.labor_rates(spine, r.rates),
-    ]
-    fact = spine.join(worker.drop("service_request_id"), on="job_id", how="left")
-    for b in branches:
-        fact = fact.join(b, on="job_id", how="left")
-    flagged = survey.latest_flag_with_dedupe_literal(
-        survey.rating_rows(r.survey_questions, r.question_types, r.csat)).filter(F.col("latest_survey"))
-    s = flagged.select(F.col("service_request_id").alias("_req"), F.col("vendor_or_tech_id").alias("_worker"),
-                       *survey.RATING_COLUMNS)
-    fact = fact.join(s, (fact["service_request_id"] == s["_req"]) & (fact["worker_id"] == s["_worker"]), "left")
-    return fact.select(*_final_columns())
-
-
 def spine_with_branches(r: Roles) -> DataFrame:
     """Spine plus the invitation branch only: the input of C22/C23's queries."""
     spine = spine_ops.job_spine(r.requests, r.jobs, r.codes, r.properties)

@@ -1,22 +1,38 @@
-"""Materialising the fact (C27): a full refresh.
+"""Materialising the fact (C27): a full refresh that never leaves a reader without a table.
 
-``write_fact`` overwrites a parquet folder in one Spark job: tasks write their files and
-the job commit publishes them only when every task has succeeded, so a lost executor
-just re-runs its tasks.  ``save_fact_table`` does the same into a catalog table, with
-optional bucketing by job so that later joins on the job key read co-partitioned files
-instead of shuffling.  The written table is what the key checks (``plans.checks``) read.
+``refresh_fact`` checks the dimensions' keys, writes the fact to a fresh run folder, checks
+the fact's keys on the written files and only then points the table at them.  A run that
+fails anywhere leaves the table as it was.  The pointer is a small file replaced by one
+rename; ``read_fact`` follows it.  ``write_fact`` and ``save_fact_table`` are the plain
+writers, the latter with optional bucketing by job for later joins on the job key.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+from jobfacts.plans import checks
+
+_POINTER = "current"
+
+
+class KeyViolation(ValueError):
+    """A key that must be unique repeats; nothing was published."""
+
+
+class Refresh(NamedTuple):
+    primary_key: DataFrame
+    foreign_keys: DataFrame
 
 
 def write_fact(fact: DataFrame, path: str, partition_by: Sequence[str] = (),
                max_records_per_file: int | None = None) -> None:
-    writer = fact.write.mode("overwrite").format("parquet")
+    """Writes to a new folder; an existing one is an error, never overwritten."""
+    writer = fact.write.mode("errorifexists").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if max_records_per_file:
@@ -31,14 +47,46 @@ def save_fact_table(fact: DataFrame, table: str, bucket_by: str = "job_id", buck
     writer.saveAsTable(table)
 
 
-def refresh_fact(roles, path: str) -> DataFrame:
-    """One refresh: build and write the fact, then check its declared keys on the
-    *written* files (the model's post-write key hooks).  Returns the summary rows
-    (one PK row; FK rows have their own columns, so they are returned separately via
-    ``plans.checks.fact_key_checks`` on the same written table)."""
-    from jobfacts.plans import checks
+def _hadoop(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, at, jvm.org.apache.hadoop.fs.FileContext.getFileContext(at.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _publish(spark: SparkSession, path: str, run: str) -> None:
+    """Replaces the pointer by a rename that overwrites."""
+    jvm, target, context = _hadoop(spark, f"{path}/{_POINTER}")
+    new = jvm.org.apache.hadoop.fs.Path(f"{path}/{_POINTER}-{run}")
+    out = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(new, True)
+    out.write(bytearray(run.encode()))
+    out.close()
+    overwrite = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = overwrite
+    context.rename(new, target, options)
+
+
+def read_fact(spark: SparkSession, path: str) -> DataFrame:
+    """The table as last published."""
+    run = spark.read.text(f"{path}/{_POINTER}").first()[0]
+    return spark.read.parquet(f"{path}/{run}")
+
+
+def refresh_fact(roles, path: str) -> Refresh:
+    """One refresh; returns the key summaries of the published table (one row for the primary
+    key, one for each foreign key; orphans are reported, they do not stop a refresh)."""
     from jobfacts.plans.fact import job_fact
 
-    write_fact(job_fact(roles), path)
-    written = roles.spark.read.parquet(path)
-    return checks.check_primary_key(written, ["job_id"], "job_fact")
+    spark = roles.spark
+    if repeated := checks.duplicated_dimensions(roles):
+        raise KeyViolation(f"repeated keys in {', '.join(repeated)}")
+    run = f"run-{uuid.uuid4().hex}"
+    write_fact(job_fact(roles), f"{path}/{run}")
+    written = spark.read.parquet(f"{path}/{run}")
+    primary = checks.check_primary_key(written, ["job_id"], "job_fact")
+    found = primary.first()
+    if found["duplicate_keys"] or found["null_key_rows"]:
+        raise KeyViolation(f"job_fact: {found['duplicate_keys']} repeated and {found['null_key_rows']} NULL keys")
+    foreign = checks.fact_key_checks(written, roles.requests, roles.vendors, roles.users)
+    _publish(spark, path, run)
+    return Refresh(primary, foreign)

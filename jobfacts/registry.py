@@ -30,7 +30,8 @@ def _spine(r: Roles) -> DataFrame:
 
 def _live(df: DataFrame, r: Roles) -> DataFrame:
     """Keep rows of live jobs (the job computes its branches from the spine)."""
-    return df.join(_spine(r).select("job_id"), on="job_id", how="left_semi")
+    return df.join(spine_ops.live_jobs(r.jobs, r.codes).join(r.requests.select("service_request_id"), "service_request_id", "left_semi")
+                   .select("job_id"), on="job_id", how="left_semi")
 
 
 def _narrow_workers(r: Roles) -> DataFrame:
@@ -96,16 +97,7 @@ def _ratings(r: Roles) -> DataFrame:
 
 
 def check_primary_key_q(r: Roles) -> DataFrame:
-    targets = [
-        ("job_fact", fact.job_fact(r), ["job_id"]),
-        ("jobs", r.jobs, ["job_id"]),
-        ("requests", r.requests, ["service_request_id"]),
-        ("properties", r.properties, ["asset_id"]),
-        ("rates", r.rates, ["area_id"]),
-        ("vendors", r.vendors, ["vendor_id"]),
-        ("users", r.users, ["staff_id"]),
-        ("leases", r.leases, ["lease_flow_id"]),
-    ]
+    targets = [("job_fact", fact.job_fact(r), ["job_id"]), *checks.dimension_keys(r)]
     return reduce(DataFrame.unionByName, [checks.check_primary_key(df, k, n) for n, df, k in targets])
 
 
@@ -121,12 +113,14 @@ _QUERIES: dict[str, Callable[[Roles], DataFrame]] = {
     "dimension_rates": lambda r: dimensions.labor_rates(_spine(r), r.rates),
     "worker_resolution": lambda r: dimensions.worker_branch(_spine(r), r.vendors, r.users),
     "response_flags": lambda r: _live(rollups.response_flags(r.invitations, r.codes), r),
-    "response_flags_windowed": lambda r: rollups.response_flags_literal(r.invitations, r.codes, _spine(r)),
+    # names of an earlier round, kept for callers: the same relations as without the suffix
+    "response_flags_windowed": lambda r: _live(rollups.response_flags(r.invitations, r.codes), r),
+    "job_fact_literal": fact.job_fact,
     "fanout_counts": lambda r: _live(rollups.fanout_counts(r.notes, r.note_files, r.codes), r),
     "first_per_key": lambda r: _live(rollups.first_schedule(r.scheduled_services), r),
     "bridge_join": _line_items,
     "distinct_then_count": lambda r: _live(
-        rollups.invoice_rollup(_line_items(r), r.invoice_authors, r.codes).drop("invoice_amount"), r),
+        rollups.invoice_rollup(r.bridge, r.line_items, r.invoices, r.invoice_authors, r.codes).drop("invoice_amount"), r),
     "sum_amount": lambda r: _live(rollups.sum_amount(_line_items(r)), r),
     "logged_hours": lambda r: _live(rollups.logged_hours(r.time_tracking, r.codes), r),
     "first_status_times": lambda r: rollups.first_status_times(r.approvals, r.approvers, r.approval_history,
@@ -141,7 +135,6 @@ _QUERIES: dict[str, Callable[[Roles], DataFrame]] = {
     "conditional_attribute": lambda r: fact.spine_with_branches(r).select(
         "job_id", "worker_type", "job_status", "market_id", fact.in_house_market().alias("in_house_market")),
     "job_fact": fact.job_fact,
-    "job_fact_literal": fact.job_fact_literal,
     "job_fact_live_only": lambda r: fact.job_fact(r, live_only=True),
     "check_primary_key": check_primary_key_q,
     "check_foreign_key": lambda r: checks.fact_key_checks(fact.job_fact(r), r.requests, r.vendors, r.users),

@@ -9,6 +9,7 @@ out on purpose so that INNER decodes drop rows and LEFT decodes yield NULL names
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobfacts import constants as K
@@ -73,17 +74,23 @@ QUESTION_TYPE_ROWS = [
 ]
 
 
-def code_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CODE_ROWS, CODE_SCHEMA)
-
-
-def question_types(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(QUESTION_TYPE_ROWS, QUESTION_TYPE_SCHEMA)
-
-
 def values_sql(rows, columns) -> str:
-    """The same rows as a SQL ``VALUES`` relation (used by the DuckDB oracle)."""
+    """The same rows as a SQL ``VALUES`` relation (also for the DuckDB oracle)."""
     def lit(v):
         return f"'{v}'" if isinstance(v, str) else str(v)
     body = ",\n    ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
     return f"(VALUES\n    {body}\n) AS t({', '.join(columns)})"
+
+
+def _relation(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
+    """Inline rows as a ``VALUES`` relation: of known size, and slices of it fold at planning."""
+    return spark.sql(f"SELECT * FROM {values_sql(rows, [f.name for f in schema])}").select(
+        *[F.col(f.name).cast(f.dataType) for f in schema])
+
+
+def code_table(spark: SparkSession) -> DataFrame:
+    return _relation(spark, CODE_ROWS, CODE_SCHEMA)
+
+
+def question_types(spark: SparkSession) -> DataFrame:
+    return _relation(spark, QUESTION_TYPE_ROWS, QUESTION_TYPE_SCHEMA)

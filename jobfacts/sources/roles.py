@@ -8,8 +8,9 @@ written in SQL in ``jobfacts.oracle`` so that an independent engine can check re
 
 Each adapter is a plain projection, so at scale it adds no shuffle: Catalyst folds it
 into the scan (``ReadSchema`` keeps only the referenced columns) and pushes filters
-through it.  Ids stay ``bigint`` (the driver's key type); every operator is generic in
-the key type.
+through it.  Ids stay ``bigint`` (the driver's key type), but staff and vendor ids are text:
+the worker id mixes both and must not rest on integers they share.  Every operator is
+generic in the key type.
 
 Mapping (driver table -> role):
 
@@ -107,10 +108,10 @@ class Roles:
             F.col("o_orderkey").alias("job_id"),
             F.col("o_custkey").alias("service_request_id"),
             F.concat(F.lit("JOB-"), F.col("o_orderkey").cast("string")).alias("external_id"),
-            F.when(F.col("o_orderkey") % 3 == 0, F.col("o_custkey")).alias("assigned_staff_id"),
-            F.when(F.col("o_orderkey") % 5 != 0, F.expr("o_custkey div 14")).alias("assigned_vendor_id"),
+            F.when(F.col("o_orderkey") % 3 == 0, F.col("o_custkey").cast("string")).alias("assigned_staff_id"),
+            F.when(F.col("o_orderkey") % 5 != 0, F.expr("o_custkey div 14").cast("string")).alias("assigned_vendor_id"),
             F.ascii("o_orderstatus").alias("status"),
-            F.substring("o_orderpriority", 1, 1).cast("int").alias("completed_by_type"),
+            F.split_part("o_orderpriority", F.lit("-"), F.lit(1)).cast("int").alias("completed_by_type"),
             (price_floor % 481).cast("int").alias("billable_minutes"),
             F.col("o_orderpriority").alias("scope_of_work"),
             F.concat_ws("/", "o_orderstatus", "o_orderpriority").alias("summary"),
@@ -149,7 +150,7 @@ class Roles:
     def vendors(self) -> DataFrame:
         s = self.table("supplier")
         return s.select(
-            F.col("s_suppkey").alias("vendor_id"),
+            F.col("s_suppkey").cast("string").alias("vendor_id"),
             F.col("s_name").alias("name"),
             (F.col("s_nationkey") % 4 == 0).alias("is_in_house"),
         )
@@ -158,7 +159,7 @@ class Roles:
     def users(self) -> DataFrame:
         c = self.table("customer")
         return c.filter(F.col("c_acctbal") >= 0).select(
-            F.col("c_custkey").alias("staff_id"), F.col("c_name").alias("name"))
+            F.col("c_custkey").cast("string").alias("staff_id"), F.col("c_name").alias("name"))
 
     # -- child tables ------------------------------------------------------------------
     @cached_property
@@ -181,7 +182,7 @@ class Roles:
             F.col("o_orderkey").alias("note_id"),
             F.col("o_custkey").alias("reference_id"),
             F.ascii("o_orderstatus").alias("reference_type"),
-            F.substring("o_orderpriority", 1, 1).cast("int").alias("created_by_type"),
+            F.split_part("o_orderpriority", F.lit("-"), F.lit(1)).cast("int").alias("created_by_type"),
         )
 
     @cached_property
@@ -250,8 +251,10 @@ class Roles:
         return e.select(
             F.col("user_id").alias("object_id"),
             event_kind_code(F.col("event_type")).alias("object_type"),
-            F.col("ts").alias("start_period"),
-            F.timestamp_add("SECOND", F.floor(F.col("value") * 60), F.col("ts")).alias("end_period"),
+            # both ends with a fraction of their own: only whole seconds count
+            F.timestamp_add("MILLISECOND", F.col("event_id") * 91 % 1000, F.col("ts")).alias("start_period"),
+            F.timestamp_add("MILLISECOND", F.col("event_id") * 37 % 1000,
+                            F.timestamp_add("SECOND", F.floor(F.col("value") * 60), F.col("ts"))).alias("end_period"),
         )
 
     @cached_property
@@ -286,8 +289,9 @@ class Roles:
         return e.select(
             _survey_id(F.col("user_id"), F.col("event_id")).alias("survey_id"),
             F.col("event_id").alias("question_id"),
-            F.when(F.col("event_id") % 2 == 0, F.col("user_id"))
-             .otherwise(F.expr("user_id div 14")).alias("related_entity_id"),
+            # every 11th answer names no worker
+            F.when(F.col("event_id") % 11 != 0, F.when(F.col("event_id") % 2 == 0, F.col("user_id"))
+                   .otherwise(F.expr("user_id div 14")).cast("string")).alias("related_entity_id"),
             event_kind_code(F.col("event_type")).alias("question_type_id"),
             ((F.floor("value") % 5) + 1).cast("string").alias("answer"),
         )

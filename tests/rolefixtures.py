@@ -15,16 +15,16 @@ TS, D = T.TimestampNTZType(), T.DateType()
 MONEY, RATE = T.DecimalType(18, 2), T.DecimalType(9, 4)
 
 SCHEMAS = {
-    "jobs": [("job_id", L), ("service_request_id", L), ("external_id", S), ("assigned_staff_id", L),
-             ("assigned_vendor_id", L), ("status", I), ("completed_by_type", I), ("billable_minutes", I),
+    "jobs": [("job_id", L), ("service_request_id", L), ("external_id", S), ("assigned_staff_id", S),
+             ("assigned_vendor_id", S), ("status", I), ("completed_by_type", I), ("billable_minutes", I),
              ("scope_of_work", S), ("summary", S), ("created_at", TS), ("completed_at", TS)],
     "requests": [("service_request_id", L), ("lease_flow_id", L), ("area_id", I), ("asset_id", I),
                  ("request_type", S)],
     "properties": [("asset_id", I), ("market_id", I)],
     "rates": [("area_id", I), ("maintenance_rate_amount", MONEY), ("first_hour_maintenance_rate_amount", MONEY),
               ("after_hours_emergency_rate", RATE)],
-    "vendors": [("vendor_id", L), ("name", S), ("is_in_house", B)],
-    "users": [("staff_id", L), ("name", S)],
+    "vendors": [("vendor_id", S), ("name", S), ("is_in_house", B)],
+    "users": [("staff_id", S), ("name", S)],
     "invitations": [("job_id", L), ("status", I), ("updated_by_type", I), ("reminder_was_sent", B),
                     ("created_at", TS), ("updated_at", TS)],
     "notes": [("note_id", L), ("reference_id", L), ("reference_type", I), ("created_by_type", I)],
@@ -42,7 +42,7 @@ SCHEMAS = {
     "approvers": [("approval_id", L), ("approver_id", L)],
     "approval_history": [("approval_id", L), ("approval_status", I), ("updated_at", TS)],
     "leases": [("lease_flow_id", L), ("move_in_date", D)],
-    "survey_questions": [("survey_id", L), ("question_id", L), ("related_entity_id", L), ("question_type_id", I),
+    "survey_questions": [("survey_id", L), ("question_id", L), ("related_entity_id", S), ("question_type_id", I),
                          ("answer", S)],
     "csat": [("survey_id", L), ("related_entity_id", L), ("surveyed_time", TS), ("comment", S)],
 }
@@ -71,7 +71,9 @@ def money(x) -> Decimal:
 
 
 def frame(spark, name: str, rows):
+    """Rows as written in the tests; numbers for text ids are turned into text."""
     schema = T.StructType([T.StructField(n, t, True) for n, t in SCHEMAS[name]])
+    rows = [tuple(str(v) if isinstance(f.dataType, T.StringType) and isinstance(v, int) else v for v, f in zip(row, schema)) for row in rows]
     return spark.createDataFrame(rows, schema)
 
 

@@ -63,4 +63,5 @@ class SkewedRoles(Roles):
     @cached_property
     def survey_questions(self) -> DataFrame:
         q = super().survey_questions
-        return q.withColumn("related_entity_id", _hot(F.col("question_id"), HOT_WORKER, "related_entity_id"))
+        return q.withColumn("related_entity_id", F.when(F.col("question_id") % 3 == 0, F.lit(str(HOT_WORKER)))
+                            .otherwise(F.col("related_entity_id")))

@@ -9,15 +9,17 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from jobfacts import oracle, registry
 from tools.compare_oracle import compare, duck_connection
 
 SF_DIR = os.environ.get("JOBFACTS_ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = registry.queries()
+SQL = oracle.oracle_sql()
 
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.fixture(scope="module")

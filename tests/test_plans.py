@@ -3,10 +3,13 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from jobfacts.functions.codes import code_slice, decode
 from jobfacts.operators import rollups
-from jobfacts.plans.fact import job_fact, job_fact_literal
+from jobfacts.operators import survey
+from jobfacts.plans import checks
+from jobfacts.plans.fact import job_fact
 from jobfacts.registry import queries
 from jobfacts.sources.roles import Roles
 
@@ -23,8 +26,7 @@ def static_plans(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         r = Roles(spark, SF)
-        yield {"fact": _plan(job_fact(r)), "literal": _plan(job_fact_literal(r)),
-               "schedule": _plan(rollups.first_schedule(r.scheduled_services)),
+        yield {"fact": _plan(job_fact(r)), "schedule": _plan(rollups.first_schedule(r.scheduled_services)),
                "users": _plan(r.users.select("staff_id")),
                "decode": _plan(decode(r.invitations, code_slice(r.codes, "jobs.InvitationStatus", "status", "n"),
                                       "status"))}
@@ -72,11 +74,37 @@ def test_first_per_key_limits_before_the_shuffle(static_plans):
     assert len(limits) == 2 and exchange and limits[0] < exchange[0] < limits[1]
 
 
-def test_set_based_fact_scans_less_than_literal(static_plans):
-    def count(plan, op):
-        return len(re.findall(op, plan))
-    assert count(static_plans["fact"], "FileScan") < count(static_plans["literal"], "FileScan")
-    assert count(static_plans["fact"], "orders.parquet") < count(static_plans["literal"], "orders.parquet")
+def test_codes_are_inline_rows(static_plans):
+    assert "LocalTableScan" in static_plans["decode"] and "ExistingRDD" not in static_plans["fact"]
+
+
+def test_survey_is_read_once(spark):
+    """One scan of the questions; no free text in a join key or exchange."""
+    r = Roles(spark, SF)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(survey.latest_flag_with_dedupe(survey.rating_rows(r.survey_questions, r.question_types, r.csat)))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(64 * 1024 * 1024))
+    assert not [x for x in plan.splitlines() if "hashpartitioning" in x and "comment" in x.split("hashpartitioning", 1)[1].split(")")[0]]
+    assert "ReusedExchange" in plan and plan.count("FileScan") == 2   # questions and csat
+
+
+def test_foreign_keys_count_before_they_join(spark):
+    """A mostly-NULL key is one counted row when it is shuffled to the join."""
+    child = spark.range(0, 9000, numPartitions=6).select(F.when(F.col("id") % 3 == 0, F.col("id") % 50).alias("fk"))
+    parent = spark.range(40).select(F.col("id").alias("pk"))
+    row = checks.check_foreign_key(child, "fk", parent, "pk", "t").first()
+    assert (row.child_rows, row.null_fk_rows) == (9000, 6000) and row.orphan_rows == child.where("fk >= 40").count()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(checks.check_foreign_key(child, "fk", parent, "pk", "t")).splitlines()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    first = next(i for i, x in enumerate(plan) if "hashpartitioning(fk_column" in x and "value" in x)
+    assert any("HashAggregate" in x and "partial_count" in x for x in plan[first:first + 4])
 
 
 def test_left_lookup_spreads_null_keys(spark):

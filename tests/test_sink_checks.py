@@ -1,6 +1,9 @@
 """Sink (C27) and key checks (C25, C26) with planted violations."""
 
 
+import pytest
+from pyspark.sql import functions as F
+
 from jobfacts.plans import checks, sink
 from jobfacts.plans.fact import job_fact
 from jobfacts.sources.roles import Roles
@@ -19,9 +22,9 @@ def test_write_and_check_fact(spark, tmp_path):
     pk = checks.check_primary_key(written, ["job_id"], "job_fact").collect()[0]
     assert (pk.null_key_rows, pk.duplicate_keys, pk.duplicate_rows) == (0, 0, 0)
     assert pk.total_rows == written.count()
-    # overwrite replaces, does not append
-    sink.write_fact(fact, path)
-    assert spark.read.parquet(path).count() == fact.count()
+    # an existing folder is never overwritten
+    with pytest.raises(Exception, match="exist"):
+        sink.write_fact(fact, path)
 
 
 def test_primary_key_planted_violations(spark):
@@ -55,11 +58,40 @@ def test_fact_foreign_keys_on_testdata(spark):
     assert rows["vendor_id"].orphan_rows == 0            # vendor_id comes from the lookup itself
 
 
-def test_refresh_checks_the_written_table(spark, tmp_path):
+def test_refresh_publishes_a_checked_table(spark, tmp_path):
     r = Roles(spark, SF)
     path = str(tmp_path / "refresh")
-    pk = sink.refresh_fact(r, path).collect()[0]
-    written = spark.read.parquet(path)
-    assert pk.total_rows == written.count() and pk.duplicate_keys == 0 and pk.null_key_rows == 0
-    fk = {x.fk_column: x for x in checks.fact_key_checks(written, r.requests, r.vendors, r.users).collect()}
-    assert fk["service_request_id"].orphan_rows == 0
+    done = sink.refresh_fact(r, path)
+    written = sink.read_fact(spark, path)
+    pk = done.primary_key.first()
+    assert pk.total_rows == written.count() == job_fact(r).count() and pk.duplicate_keys == 0 and pk.null_key_rows == 0
+    assert {x.fk_column: x.orphan_rows > 0 for x in done.foreign_keys.collect()} == {
+        "service_request_id": False, "vendor_id": False, "assigned_staff_id": True}
+    first = written.inputFiles()
+    sink.refresh_fact(r, path)
+    assert set(sink.read_fact(spark, path).inputFiles()).isdisjoint(first)
+
+
+class _Failing(Roles):
+    @property
+    def leases(self):
+        return super().leases.withColumn("move_in_date", F.raise_error(F.lit("planted failure")).cast("date"))
+
+
+class _Repeating(Roles):
+    @property
+    def vendors(self):
+        base = super().vendors
+        return base.unionByName(base.limit(1))
+
+
+def test_a_failed_refresh_keeps_the_last_table(spark, tmp_path):
+    path = str(tmp_path / "kept")
+    sink.refresh_fact(Roles(spark, SF), path)
+    before = sorted(sink.read_fact(spark, path).inputFiles())
+    with pytest.raises(Exception, match="planted failure"):
+        sink.refresh_fact(_Failing(spark, SF), path)
+    with pytest.raises(sink.KeyViolation, match="vendors"):
+        sink.refresh_fact(_Repeating(spark, SF), path)
+    assert sorted(sink.read_fact(spark, path).inputFiles()) == before
+    assert sink.read_fact(spark, path).count() > 0

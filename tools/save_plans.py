@@ -16,7 +16,7 @@ from jobfacts.registry import queries  # noqa: E402
 from jobfacts.session import local_session  # noqa: E402
 
 OUT = os.path.join(ROOT, "docs", "plans")
-NAMES = ("job_fact", "job_fact_literal", "job_spine", "response_flags", "fanout_counts", "first_per_key",
+NAMES = ("job_fact", "job_spine", "response_flags", "fanout_counts", "first_per_key",
          "distinct_then_count", "latest_flag_with_dedupe", "within_days_of")
 
 

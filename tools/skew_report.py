@@ -25,12 +25,12 @@ sys.path.insert(0, ROOT)
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from jobfacts.plans.fact import job_fact, job_fact_literal  # noqa: E402
+from jobfacts.plans.fact import job_fact  # noqa: E402
 from jobfacts.session import configure  # noqa: E402
 from jobfacts.sources.roles import Roles  # noqa: E402
-from jobfacts.sources.skewed import SkewedRoles  # noqa: E402
+from tests.skewed import SkewedRoles  # noqa: E402
 
-PLANS = {"job_fact": job_fact, "job_fact_literal": job_fact_literal}
+PLANS = {"job_fact": job_fact}
 
 
 def _events(run_dir: str):
