@@ -51,6 +51,7 @@ RULES = (
     Rule("symbols", "n_symbols", "n_words", high=10),
     Rule("capitals", "n_capitals", "word_chars", high=40),
     Rule("stop_words", "n_stop_words", "n_words", low=2, min_words=50),
+    Rule("stutter", "n_stutter", "n_words", high=20),
     Rule("duplicate_lines", "n_dup_lines", "n_lines", high=50),
     Rule("ellipsis_lines", "n_ellipsis_lines", "n_lines", high=30),
     Rule("bullet_lines", "n_bullet_lines", "n_lines", high=90),
@@ -112,6 +113,7 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         _count_left(F.col("t"), r"[^#*$%&|<>]+").alias("n_symbols"),
         _count_left(F.col("t"), r"[^\p{Lu}]+").alias("n_capitals"),
         F.size(F.filter("w", lambda x: F.lower(x).isin(stop))).cast("long").alias("n_stop_words"),
+        F.size(F.filter("w", lambda x, i: F.coalesce(x == F.get("w", i - 1), F.lit(False)))).cast("long").alias("n_stutter"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.size(F.filter("lines", lambda x: x.rlike(r"(\.\.\.|…)[\x20\x09-\x0D]*$"))).cast("long").alias("n_ellipsis_lines"),
@@ -158,15 +160,16 @@ def oracle_sql(source: str = "documents", rules: tuple[Rule, ...] = RULES) -> st
     """DuckDB: one row per word and window instead of arrays; returns ``quality_query``'s rows."""
     return f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM {source}),
-w AS (SELECT r, unnest(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+')) AS word,
-             generate_subscripts(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+'), 1) AS p FROM d),
+w AS (SELECT *, word = lag(word) OVER (PARTITION BY r ORDER BY p) AS same FROM (SELECT r, unnest(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+')) AS word,
+             generate_subscripts(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+'), 1) AS p FROM d)),
 five AS (SELECT r, p, CASE WHEN lead(word, 4) OVER o IS NOT NULL THEN
              concat_ws(' ', word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o, lead(word, 4) OVER o) END AS g
          FROM w WINDOW o AS (PARTITION BY r ORDER BY p)),
 twice AS (SELECT r, p FROM (SELECT r, p, count(*) OVER (PARTITION BY r, g) AS n FROM five WHERE g IS NOT NULL) WHERE n > 1),
 rep AS (SELECT r, count(DISTINCT p + k) AS n_repeat_words FROM twice, (SELECT unnest([0, 1, 2, 3, 4]) AS k) GROUP BY r),
 ww AS (SELECT r, count(*) AS n_words, sum(length(word)) AS word_chars,
-              count(*) FILTER (WHERE lower(word) IN ({", ".join(f"'{s}'" for s in STOP_WORDS)})) AS n_stop_words FROM w GROUP BY r),
+              count(*) FILTER (WHERE lower(word) IN ({", ".join(f"'{s}'" for s in STOP_WORDS)})) AS n_stop_words,
+              count(*) FILTER (WHERE same) AS n_stutter FROM w GROUP BY r),
 l AS (SELECT r, line FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)
       WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
 ll AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines,
@@ -175,7 +178,7 @@ ll AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_l
 m AS (SELECT doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
              length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
              length(regexp_replace(t, '[^\\p{{Lu}}]+', '', 'g'))::BIGINT AS n_capitals,
-             coalesce(n_stop_words, 0)::BIGINT AS n_stop_words, coalesce(n_lines, 0)::BIGINT AS n_lines,
+             coalesce(n_stop_words, 0)::BIGINT AS n_stop_words, coalesce(n_stutter, 0)::BIGINT AS n_stutter, coalesce(n_lines, 0)::BIGINT AS n_lines,
              coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_ellipsis_lines, 0)::BIGINT AS n_ellipsis_lines,
              coalesce(n_bullet_lines, 0)::BIGINT AS n_bullet_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
       FROM d LEFT JOIN ww USING (r) LEFT JOIN ll USING (r) LEFT JOIN rep USING (r)),
