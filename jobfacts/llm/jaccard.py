@@ -12,8 +12,12 @@ the same shingles in both: its hash is a key, and linked documents share a key.
 Copies with equal texts are one vertex.  In each key's block, first the member that shares
 most keys is compared with the others; after that, only members of different components
 are compared, through R-trees of bounded tiles.  No block emits all its pairs, and no link
-between two components is lost.  The links found thus are those that make the components,
-not every link inside one.
+between two components is lost.
+
+The links found thus make the components.  All links of a document lie in its component, so
+they are counted there: members are written as their difference from one of them, which is
+short for near copies, and pairs of tiles are compared as matrices.  Only the counts leave a
+task, never the pairs.
 
 Defined results: NULL or empty texts have an empty set, link with nothing and are their own
 component; repeated rows are copies of one another; a NULL doc_id takes part but is never a
@@ -42,6 +46,8 @@ TILE = 1024
 LEAF = 32
 #: ids that may be broadcast; more are joined by a shuffle
 MAX_BROADCAST = 4_000_000
+#: shingles in one slice of the matrices that count links
+SLICE = 2048
 #: shingles of the documents that one verifying task holds
 TASK_SHINGLES = 500_000
 
@@ -143,6 +149,76 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return members.union(centres).groupBy("b", "part").applyInPandas(verify, "a long, b long")
 
 
+def _differences(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(root, vid, n, head) to (root, vid, n, gone, new, head_n): the shingles of the head that a
+    member lacks and those that only the member has.  Members are dealt out as in _linked."""
+    load = cut(members.groupBy("root").agg(F.ceil(F.sum("n") / TASK_SHINGLES).cast("int").alias("parts")), "head-load")
+    dealt = cut(salted_join(members, load, ["root"]).select("root", "vid", "n", "head", F.pmod(F.xxhash64("vid"), F.col("parts")).alias("part")),
+                "head-members")
+    own = dealt.join(sets, "vid").select("root", "part", "vid", "n", "shingles", F.lit(False).alias("centre"))
+    heads = dealt.select("root", "part", F.col("head").alias("vid")).distinct().join(sets, "vid").select(
+        "root", "part", "vid", F.lit(0).cast("long").alias("n"), "shingles", F.lit(True).alias("centre"))
+
+    def subtract(group: pd.DataFrame) -> pd.DataFrame:
+        head = np.frombuffer(group.loc[group["centre"], "shingles"].iloc[0], dtype=_U)
+        own = group[~group["centre"]]
+        values = [np.frombuffer(x, dtype=_U) for x in own["shingles"]]
+        return pd.DataFrame({"root": own["root"], "vid": own["vid"], "n": own["n"],
+                             "gone": [np.setdiff1d(head, x, assume_unique=True).tobytes() for x in values],
+                             "new": [np.setdiff1d(x, head, assume_unique=True).tobytes() for x in values], "head_n": len(head)})
+
+    return own.union(heads).groupBy("root", "part").applyInPandas(subtract, "root long, vid long, n long, gone binary, new binary, head_n long")
+
+
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all sets of ``left`` with all of ``right``."""
+    sides = [(np.repeat(np.arange(len(x)), [len(v) for v in x]), np.concatenate(x)) for x in (left, right)]
+    shared = np.intersect1d(sides[0][1], sides[1][1])
+    both = np.zeros((len(left), len(right)), dtype=np.int32)
+    for low in range(0, len(shared), SLICE):
+        part = shared[low:low + SLICE]
+        dense = []
+        for (rows, values), x in zip(sides, (left, right)):
+            at = np.minimum(np.searchsorted(part, values), len(part) - 1)
+            hit = part[at] == values
+            matrix = np.zeros((len(x), len(part)), dtype=np.float32)
+            matrix[rows[hit], at[hit]] = 1
+            dense.append(matrix)
+        both += (dense[0] @ dense[1].T).astype(np.int32)
+    return both
+
+
+def _count_links(members: DataFrame, sets: DataFrame, percent: int, tile: int) -> DataFrame:
+    """(root, vid, n, head) of whole components to (vid, n_links): links with other members."""
+    apart = cut(_differences(members, sets), "differences")
+    load = F.sum(F.length("gone") + F.length("new")) / (8 * TASK_SHINGLES)
+    tiles = cut(apart.groupBy("root").agg(F.ceil(F.greatest(F.count("*") / tile, load, F.lit(1))).cast("int").alias("tiles")), "tiles")
+    tiled = salted_join(apart, tiles, ["root"]).withColumn("tile", F.pmod(F.xxhash64("vid"), F.col("tiles")))
+    dealt = (tiled.select("*", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
+             .withColumns({"s": F.least("tile", "other"), "t": F.greatest("tile", "other")}).drop("tiles", "other"))
+
+    def count(group: pd.DataFrame) -> pd.DataFrame:
+        s, t, head = int(group["s"].iloc[0]), int(group["t"].iloc[0]), int(group["head_n"].iloc[0])
+        sides = [group[group["tile"] == x] for x in ((s,) if s == t else (s, t))]
+        if not all(len(x) for x in sides):
+            return pd.DataFrame({"vid": [], "n_links": []}, dtype="int64")
+        sides = sides * 2 if s == t else sides
+        n = [x["n"].to_numpy() for x in sides]
+        gone, new = [[[np.frombuffer(v, dtype=_U) for v in x[c]] for x in sides] for c in ("gone", "new")]
+        lacking = [np.array([len(v) for v in x]) for x in gone]
+        # of the head's shingles, those that neither lacks; and the new ones that both have
+        both = head - lacking[0][:, None] - lacking[1][None, :] + _common(*gone) + _common(*new)
+        linked = 100 * both >= percent * (n[0][:, None] + n[1][None, :] - both)
+        if s == t:
+            np.fill_diagonal(linked, False)
+            return pd.DataFrame({"vid": sides[0]["vid"].to_numpy(), "n_links": linked.sum(axis=1, dtype="int64")})
+        return pd.DataFrame({"vid": np.concatenate([x["vid"].to_numpy() for x in sides]),
+                             "n_links": np.concatenate([linked.sum(axis=a, dtype="int64") for a in (1, 0)])})
+
+    counts = dealt.groupBy("root", "s", "t").applyInPandas(count, "vid long, n_links long")
+    return counts.groupBy("vid").agg(F.sum("n_links").alias("n_links"))
+
+
 class _Tree:
     """A packed R-tree over points: leaves of LEAF points in order of their size and first
     coordinates, each with its points' largest coordinates and smallest size."""
@@ -202,9 +278,9 @@ def _across(blocks: DataFrame, percent: int) -> DataFrame:
 
 
 def components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SHINGLE, percent: int = THRESHOLD,
-               max_broadcast: int = MAX_BROADCAST, tile: int = TILE) -> DataFrame:
-    """Per row: doc_id, vid (hash of the text), n_shingles, n_links (found links of the text's
-    vertex) and component_id, the smallest doc_id that links lead to."""
+               max_broadcast: int = MAX_BROADCAST, tile: int = TILE, count_links: bool = True) -> DataFrame:
+    """Per row: doc_id, vid (hash of the text), n_shingles, n_links (other texts that the text
+    links with; only with ``count_links``) and component_id, the smallest doc_id that links lead to."""
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     rows = rows.select("doc_id", F.xxhash64("text").alias("vid"), F.xxhash64(F.lit(1), "text").alias("check"), "text")
     ids = rows.select("doc_id", "vid", "check")
@@ -249,16 +325,27 @@ def components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size
                 .select("vid", "n", F.coalesce("component", "vid").alias("root")), "parts")
     owned = parts.join(classes.groupBy("vid").agg(F.min("rep").alias("rep")), "vid")
     smallest = cut(owned.groupBy("root").agg(F.min("rep").alias("component_id")), "smallest")
-    ends = links.select(F.col("a").alias("vid")).union(links.select("b")).groupBy("vid").agg(F.count("*").alias("n_links"))
-    found = cut(salted_join(parts, smallest, ["root"]).join(ends, "vid", "left"), "found")
+    found = salted_join(parts, smallest, ["root"])
+    if count_links:
+        ends = cut(links.select(F.col("a").alias("vid")).union(links.select("b")).groupBy("vid").agg(F.count("*").alias("degree"))
+                   .join(parts, "vid"), "ends")
+        # of two members, each has one link; of more, the head is one that was found to have most
+        heads = cut(ends.groupBy("root").agg(F.count("*").alias("members"), F.max(F.struct("degree", "vid")).alias("head"))
+                    .select("root", "members", F.col("head.vid").alias("head")), "link-heads")
+        inside = cut(salted_join(ends.select("root", "vid", "n"), heads, ["root"]), "link-members")
+        counts = inside.where("members = 2").select("vid", F.lit(1).cast("long").alias("n_links")).union(
+            _count_links(inside.where("members > 2").drop("members"), sets, percent, tile))
+        found = found.join(counts, "vid", "left")
+    found = cut(found, "found")
+    n_links = [F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")] if count_links else []
     return salted_join(ids.select("doc_id", "vid"), found, ["vid"]).select(
-        "doc_id", "vid", F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),
+        "doc_id", "vid", F.col("n").alias("n_shingles"), *n_links,
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each component, the one with the smallest doc_id; input columns only."""
-    dropped = (components(docs).where("NOT doc_id <=> component_id")
+    dropped = (components(docs, count_links=False).where("NOT doc_id <=> component_id")
                .select(F.col("doc_id").alias("__id"), F.col("vid").alias("__hash")).distinct())
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("__hash"))
     return docs.join(dropped, same, "left_anti")

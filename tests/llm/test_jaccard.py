@@ -105,3 +105,31 @@ def test_tree_join_against_all_pairs():
     sums = points.sum(axis=1)
     shared = np.minimum(points[:, None], points[None]).sum(axis=2)
     assert set(zip(i.tolist(), j.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(190 * shared >= 90 * (sums[:, None] + sums[None])))))
+
+
+def links_of(data):
+    """doc_id to the number of different other texts it links with, for distinct texts."""
+    sets = {i: shingle_set(t) for i, t in data}
+    return {i: sum(j != i and bool(s and o) and 100 * len(s & o) >= 90 * len(s | o) for j, o in sets.items()) for i, s in sets.items()}
+
+
+def test_links_are_counted_against_brute_force(spark, monkeypatch):
+    data, seen = [], set()
+    for i, t in sample(5):  # equal texts are one vertex
+        if t not in seen:
+            data.append((i, t))
+            seen.add(t)
+    want = links_of(data)
+    assert max(want.values()) >= 4
+    assert {r.doc_id: r.n_links for r in jaccard.jaccard_query(clashing(docs(spark, data))).collect()} == want
+    monkeypatch.setattr(jaccard, "TASK_SHINGLES", 300)
+    monkeypatch.setattr(jaccard, "SLICE", 7)
+    got = jaccard.components(docs(spark, data), max_broadcast=-1, tile=3).collect()
+    assert {r.doc_id: r.n_links for r in got} == want
+
+
+def test_copies_of_one_text_count_the_same_links(spark):
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join(base)] + [" ".join(base[:k] + ["x"] + base[k + 1:]) for k in (20, 90, 160)]
+    data = [(i, texts[i % 4]) for i in range(10)] + [(None, texts[0])]
+    assert {r.n_links for r in jaccard.jaccard_query(docs(spark, data)).collect()} == {3}
