@@ -1,14 +1,18 @@
 """License scans: winnowed fingerprints pick candidates, banded alignment reports matches.
 
-Words are runs of letters and digits, lower-cased.  Hashes of ``GRAM`` consecutive words
-are winnowed: of each ``WINNOW`` neighbours the smallest is kept.  The templates'
-fingerprints form an inverted index from hash to (template, position); templates shorter
-than a winnowing window keep all their hashes, which are looked up at all places.  A
-document's fingerprints in the index name templates and places in the document; places of
-one template that lie on neighbouring diagonals are one candidate.
+Words are runs of letters and digits, lower-cased.  The fingerprints of a template form an
+inverted index from hash to (template, position).
+
+Templates of up to ``COUNTED`` words keep every word, looked up at all places of a document.
+Each hit lies on a diagonal (document place - template place); a match has as many hits as
+it needs words on a few neighbouring diagonals, so counting hits there finds it however its
+edits are placed.  Hashes of ``GRAM`` consecutive words of longer templates are winnowed: of
+each ``WINNOW`` neighbours the smallest is kept, so a run of GRAM + WINNOW - 1 unchanged words
+is sure to be found, and a match without one may be missed.  Places on neighbouring diagonals
+are one candidate.
 
 A candidate's stretch of the document is aligned with the whole template inside a band
-around its diagonals: a match scores 1, a word substituted, inserted or missing costs 1;
+around its diagonals, and so is what lies before and after a match: a match scores 1, a word substituted, inserted or missing costs 1;
 document words before and after the match are free.  Reported are the share of the
 template's words that match, the span in words and whether it is exact.
 
@@ -33,6 +37,8 @@ from jobfacts.llm.wordhash import mix, word_hashes
 by_value(__name__)
 
 GRAM, WINNOW = 3, 4
+#: words of the longest templates that are found by counting words
+COUNTED = 100
 MIN_COVERAGE = 0.8
 #: half width of the alignment band, beyond the candidate's own diagonals, as a share of the template
 BAND = 0.15
@@ -85,40 +91,65 @@ class Index:
         self.words = [templates[n] for n in self.names]
         if any(not len(w) for w in self.words):
             raise ValueError("a template has no words")
-        self.tiny = [i for i, w in enumerate(self.words) if len(w) < GRAM]
         self.places: dict[int, list[tuple[int, int]]] = {}
-        short, long = set(), set()
         for i, words in enumerate(self.words):
-            hashes = _grams(words)
-            brief = len(words) < GRAM + WINNOW - 1
-            for at in (range(len(hashes)) if brief else winnow(hashes)):
-                self.places.setdefault(int(hashes[at]), []).append((i, int(at)))
-                (short if brief else long).add(int(hashes[at]))
-        self.short, self.long = (np.array(sorted(x), dtype=_U) for x in (short, long))
-
-    def candidates(self, words: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(template, lowest diagonal, highest diagonal); a diagonal is document place - template place."""
-        hashes = _grams(words)
+            if len(words) > COUNTED:
+                hashes = _grams(words)
+                for at in winnow(hashes):
+                    self.places.setdefault(int(hashes[at]), []).append((i, int(at)))
+        self.long = np.array(sorted(self.places), dtype=_U)
+        # the words of the other templates, and for each its (template, position)s in a row
+        counted = [i for i, w in enumerate(self.words) if len(w) <= COUNTED]
+        every = np.concatenate([np.zeros(0, dtype=_U), *[self.words[i] for i in counted]])
+        order = np.argsort(every, kind="stable")
+        self.template = np.concatenate([np.zeros(0, dtype=np.int64), *[np.full(len(self.words[i]), i) for i in counted]])[order]
+        self.position = np.concatenate([np.zeros(0, dtype=np.int64), *[np.arange(len(self.words[i])) for i in counted]])[order]
+        self.known, self.first, self.number = np.unique(every[order], return_index=True, return_counts=True)
+
+    def _counted(self, words: np.ndarray, least: float) -> Iterator[tuple[int, int, int]]:
+        """(template, lowest diagonal, highest diagonal) of bands that hold enough hits for a match."""
+        if not len(self.known) or not len(words):
+            return
+        at = np.minimum(np.searchsorted(self.known, words), len(self.known) - 1)
+        places = np.flatnonzero(self.known[at] == words)
+        at = at[places]
+        number = self.number[at]
+        entry = np.repeat(self.first[at] - (np.cumsum(number) - number), number) + np.arange(int(number.sum()))
+        template, diagonal = self.template[entry], np.repeat(places, number) - self.position[entry]
+        order = np.lexsort((diagonal, template))
+        template, diagonal = template[order], diagonal[order]
+        for i in np.unique(template).tolist():
+            own = diagonal[np.searchsorted(template, i):np.searchsorted(template, i, side="right")]
+            slack, need = _slack(len(self.words[i])), least * len(self.words[i])
+            hits = np.searchsorted(own, own + 4 * slack, side="right") - np.arange(len(own))
+            low = high = None
+            for d in np.unique(own[hits >= need]).tolist():
+                if low is not None and d - low > slack:
+                    yield i, low, high + 4 * slack
+                    low = None
+                low, high = d if low is None else low, d
+            if low is not None:
+                yield i, low, high + 4 * slack
+
+    def candidates(self, words: np.ndarray, least: float = MIN_COVERAGE) -> Iterator[tuple[int, int, int]]:
+        """(template, lowest diagonal, highest diagonal) of the bands to align in."""
+        yield from self._counted(words, least)
+        hashes = _grams(words) if len(self.long) else words[:0]
         kept = winnow(hashes)
-        at = np.union1d(np.flatnonzero(np.isin(hashes, self.short)), kept[np.isin(hashes[kept], self.long)])
         found: dict[int, list[int]] = {}
-        for p in at.tolist():
+        for p in kept[np.isin(hashes[kept], self.long)].tolist():
             for template, own in self.places[int(hashes[p])]:
                 found.setdefault(template, []).append(p - own)
-        for i in self.tiny:
-            starts = np.flatnonzero(words == self.words[i][0])
-            if len(starts):
-                found.setdefault(i, []).extend(starts.tolist())
         for template in sorted(found):
             slack = _slack(len(self.words[template]))
             diagonals = sorted(set(found[template]))
             low = high = diagonals[0]
             for d in diagonals[1:]:
                 if d - high > slack or d - low > 2 * slack:
-                    yield template, low, high
+                    yield template, low - slack, high + slack
                     low = d
                 high = d
-            yield template, low, high
+            yield template, low - slack, high + slack
 
 
 def _slack(length: int) -> int:
@@ -157,14 +188,27 @@ def align(template: np.ndarray, words: np.ndarray, low: int, high: int) -> tuple
     return matches, score, start, low + n + k
 
 
+def _matches(own: np.ndarray, words: np.ndarray, low: int, high: int, least: float) -> Iterator[tuple[int, int, int]]:
+    """(matches, start, end) of alignments with enough matches in a band, none over another."""
+    todo = [(0, len(words))]
+    while todo:
+        a, b = todo.pop()
+        # words that the band can reach
+        a, b = max(a, low), min(b, high + len(own))
+        if b - a < least * len(own):
+            continue
+        matches, _, start, end = align(own, words[a:b], low - a, high - a)
+        if matches >= least * len(own):
+            yield matches, a + start, a + end
+            todo += [(a, a + start), (a + end, b)]
+
+
 def scan_words(words: np.ndarray, index: Index, least: float = MIN_COVERAGE) -> list[tuple[str, int, int, int, int, float, bool]]:
     """(template, start, end, matched words, template words, coverage, exact) of all matches."""
     out = []
-    for template, low, high in index.candidates(words):
+    for template, low, high in index.candidates(words, least):
         own = index.words[template]
-        slack = _slack(len(own))
-        matches, score, start, end = align(own, words, low - slack, high + slack)
-        if matches >= least * len(own):
+        for matches, start, end in _matches(own, words, low, high, least):
             out.append((index.names[template], start, end, matches, len(own), matches / len(own), matches == len(own) == end - start))
     out.sort(key=lambda x: (x[0], -x[5], -x[6], x[1]))
     kept: list[tuple] = []

@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import numpy as np
@@ -71,3 +72,20 @@ def test_query(spark):
     assert sorted((repr(r.doc_id), r.license, r.start_word, r.end_word, r.exact) for r in got) == [
         ("1", "all-rights-reserved", 1, 4, True), ("1", "all-rights-reserved", 1, 4, True), ("None", "mit", 0, 5, True)]
     assert licenses.license_query(docs(spark, [])).collect() == []
+
+
+def test_short_templates_with_every_placement_of_edits():
+    for name, text in licenses.TEMPLATES.items():
+        own = licenses._template_words(text)
+        most = int(len(own) * (1 - licenses.MIN_COVERAGE) + 1e-9)
+        if len(own) > 15:
+            continue
+        index = licenses.Index({name: own})
+        for k in range(most + 1):
+            for places in itertools.combinations(range(len(own)), k):
+                for gone in itertools.product([False, True], repeat=k):
+                    edited = [[] if dict(zip(places, gone)).get(i, False) else [1 + i] if i in places else [w] for i, w in enumerate(own.tolist())]
+                    doc = np.array([7] * 9 + [w for part in edited for w in part] + [8] * 9, dtype=np.uint64)
+                    got = licenses.scan_words(doc, index)
+                    full = licenses.align(own, doc, -len(own), len(doc))
+                    assert len(got) == 1 and got[0][3] == full[0] == len(own) - k, (name, places, gone)
