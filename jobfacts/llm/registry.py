@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from jobfacts.llm import decontam, htmltext, jaccard, langid, licenses, linededup, quality, sentencepieces, toxicity, warczip
+from jobfacts.llm import (decontam, fim, htmltext, jaccard, langid, licenses, linededup, pii, quality, sentencepieces, toxicity, warczip,
+                          whitening)
 from jobfacts.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +26,9 @@ def queries() -> dict[str, Query]:
         "op8_license_scan": lambda s, d: licenses.license_query(table(s, d, "documents")),
         "op9_line_dedup": lambda s, d: linededup.line_dedup_query(table(s, d, "documents")),
         "op10_warc": lambda s, d: warczip.warc_query(s, table(s, d, "pages")),
+        "op11_pii": lambda s, d: pii.pii_query(table(s, d, "documents")),
+        "op12_fill_in_middle": lambda s, d: fim.fim_query(table(s, d, "documents")),
+        "op13_embedding_whitening": lambda s, d: whitening.whitening_query(table(s, d, "embeddings")),
         "pipeline": corpus_pipeline.run,
     }
 
@@ -35,4 +39,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_quality_rules": quality.oracle_sql(),
         "op9_line_dedup": linededup.oracle_sql(),
         "op10_warc": warczip.oracle_sql(),
+        "op12_fill_in_middle": fim.oracle_sql(),
     }
