@@ -7,6 +7,10 @@ a hash of another column, spreading them over all partitions, while the residual
 condition ``key IS NOT NULL`` guarantees a stand-in never matches a real key.  Right
 rows are not replicated (nothing to match), so the fix costs one hash per NULL row.
 When Spark broadcasts the dimension, the same join is a map-side lookup.
+
+Frequent keys that do match (one vendor with a third of all jobs) are spread by a ``Split`` of
+``operators.hotkeys``: their rows take a salt, and the dimension's row of such a key is
+repeated once a salt.
 """
 
 from __future__ import annotations
@@ -15,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from jobfacts.operators.hotkeys import NO_SPLIT, Split, copied, spread
+
 _INT_TYPES = (T.ByteType, T.ShortType, T.IntegerType)
 
 
@@ -30,7 +36,7 @@ def _stand_in(dtype: T.DataType, spread_by: str) -> Column:
 
 
 def left_lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str, spread_by: str,
-                eligible: Column | None = None) -> DataFrame:
+                eligible: Column | None = None, split: Split = NO_SPLIT) -> DataFrame:
     """``left LEFT JOIN right ON left_key = right_key [AND eligible]``.
 
     ``eligible`` is an optional condition on left columns only (rows failing it get NULL
@@ -42,5 +48,10 @@ def left_lookup(left: DataFrame, right: DataFrame, left_key: str, right_key: str
         usable = usable & eligible
     stand_in = _stand_in(left.schema[left_key].dataType, spread_by)
     keyed = left.withColumn("_lookup_key", F.when(usable, F.col(left_key)).otherwise(stand_in))
+    if split.hashes:
+        keyed = keyed.withColumn("_lookup_salt", spread([F.col(left_key)], split, [F.col(spread_by)]))
+        right = right.withColumn("_right_salt", copied([F.col(right_key).cast(left.schema[left_key].dataType)], split))
+        cond = (keyed["_lookup_key"] == right[right_key]) & (keyed["_lookup_salt"] == right["_right_salt"]) & usable
+        return keyed.join(right, cond, "left").drop("_lookup_key", "_lookup_salt", "_right_salt")
     cond = (keyed["_lookup_key"] == right[right_key]) & usable
     return keyed.join(right, cond, "left").drop("_lookup_key")

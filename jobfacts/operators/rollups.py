@@ -17,7 +17,7 @@ partial ``WindowGroupLimit`` before the shuffle: a hot job ships one row per map
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,6 +26,7 @@ from jobfacts import constants as K
 from jobfacts.functions.codes import code_slice, decode
 from jobfacts.functions.flags import flag01
 from jobfacts.functions.timeops import epoch_seconds, hours_from_seconds, to_local_time
+from jobfacts.operators.hotkeys import NO_SPLIT, Split, split_join
 from jobfacts.sources.roles import LINE_ITEM_KEY
 
 INVOICE_COLUMNS = ("vendor_created_invoices", "staff_created_invoices", "total_invoices",
@@ -67,6 +68,17 @@ def response_flags(invitations: DataFrame, codes: DataFrame) -> DataFrame:
     return agg.withColumn("hours_to_accept", _to_whole_hours(F.col("hours_to_accept")))
 
 
+def response_flags_windowed(invitations: DataFrame, codes: DataFrame) -> DataFrame:
+    """The same relation as the job writes it (C11): each measure a maximum over the job's whole
+    window, on every row, then one row a job, the last updated.  Kept to hold ``response_flags``
+    against; it sorts every invitation and gathers a job's rows in one task."""
+    whole, latest = Window.partitionBy("job_id"), Window.partitionBy("job_id").orderBy(F.col("updated_at").desc_nulls_first())
+    inv = _decoded_invitations(invitations, codes)
+    marked = inv.select("job_id", *[F.max(c).over(whole).alias(n) for n, c in _invitation_measures().items()],
+                        F.row_number().over(latest).alias("_rn"))
+    return marked.filter(F.col("_rn") == 1).drop("_rn").withColumn("hours_to_accept", _to_whole_hours(F.col("hours_to_accept")))
+
+
 def _to_whole_hours(seconds: Column) -> Column:
     """Rounding to whole hours is monotone, so the MAX of rounded per-row hours equals the
     rounded MAX of the seconds: the decimal division runs once per job, not per row."""
@@ -91,14 +103,26 @@ def fanout_counts(notes: DataFrame, note_files: DataFrame, codes: DataFrame) ->
     note first -- a pre-aggregation that keeps a note with many files from being
     multiplied across the network -- and weighting each note by ``max(k, 1)``.
     """
+    return note_counts(job_notes(notes, note_files, codes))
+
+
+def job_notes(notes: DataFrame, note_files: DataFrame, codes: DataFrame) -> DataFrame:
+    """The jobs' notes by vendors and staff: job_id, note_id, author_kind, rows (as often as the
+    note counts) and files."""
     per_note = note_files.groupBy("note_id").agg(
         F.count(F.lit(1)).alias("_file_rows"), F.count("file_id").alias("_files"))
     n = _job_notes(notes, codes).join(per_note, on="note_id", how="left")
-    rows = F.greatest(F.coalesce(F.col("_file_rows"), F.lit(0)), F.lit(1))
-    files = F.coalesce(F.col("_files"), F.lit(0))
+    return n.select(F.col("reference_id").alias("job_id"), "note_id", "author_kind",
+                    F.greatest(F.coalesce("_file_rows", F.lit(0)), F.lit(1)).alias("rows"),
+                    F.coalesce("_files", F.lit(0)).alias("files"))
+
+
+def note_counts(notes: DataFrame) -> DataFrame:
+    """One row per job from ``job_notes``."""
+    rows, files = F.col("rows"), F.col("files")
     vendor = F.col("author_kind") == K.KIND_VENDOR
     staff = F.col("author_kind") == K.KIND_STAFF
-    return n.groupBy(F.col("reference_id").alias("job_id")).agg(
+    return notes.groupBy("job_id").agg(
         F.sum(F.when(vendor, rows).otherwise(0)).alias("vendor_notes"),
         F.sum(F.when(staff, rows).otherwise(0)).alias("staff_notes"),
         F.sum(F.when(vendor, files).otherwise(0)).alias("vendor_attachments"),
@@ -137,16 +161,19 @@ def first_schedule(scheduled: DataFrame, tie_break: Sequence[str] = SCHEDULE_TIE
 
 
 # -- C14-C16: line items, invoice counts and amounts ----------------------------------
-def bridge_join(bridge: DataFrame, line_items: DataFrame, invoices: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+def bridge_join(bridge: DataFrame, line_items: DataFrame, invoices: DataFrame, carry: Sequence[str] = (),
+                splits: Mapping[str, Split] = {}) -> DataFrame:
     """Line items of each job with their (live, paid) invoice (C14) and its columns ``carry``.
 
-    A NULL invoice flag fails the equality and drops the row, as in the job.
+    A NULL invoice flag fails the equality and drops the row, as in the job.  An invoice with a
+    large share of all items is split by the items' key.
     """
     live = invoices.filter((F.col("is_voided") == F.lit(False)) & (F.col("is_paid") == F.lit(True))
                            & (F.col("is_deleted") == F.lit(False)))
     # the invoice lookup first: it filters, and as a dimension it is usually broadcast,
     # so the line-item stream shrinks before the bridge join shuffles it
-    items = line_items.join(live.select("invoice_id", "invoice_date", "created_date", *carry), on="invoice_id", how="inner")
+    items = split_join(line_items, live.select("invoice_id", "invoice_date", "created_date", *carry), ["invoice_id"],
+                       left_split=splits.get("item_invoice", NO_SPLIT), by=LINE_ITEM_KEY)
     items = bridge.join(items, on=list(LINE_ITEM_KEY), how="inner")
     return items.select("job_id", "amount", "invoice_id", "invoice_date",
                         F.col("created_date").alias("created_at"), *carry)
@@ -179,16 +206,24 @@ AUTHOR_COLUMNS = ("_kinds", "_vendor", "_staff")
 
 def with_authors(invoices: DataFrame, invoice_authors: DataFrame, codes: DataFrame) -> DataFrame:
     """Invoices with the number of their distinct author kinds (a NULL kind, or no author,
-    counts as one) and whether a vendor and a staff member are among them."""
-    per_invoice = _invoice_authors(invoice_authors, codes).distinct().groupBy("invoice_id").agg(
-        F.count(F.lit(1)).alias("_kinds"),
-        F.max(flag01(F.col("author_kind") == K.KIND_VENDOR)).cast("bigint").alias("_vendor"),
-        F.max(flag01(F.col("author_kind") == K.KIND_STAFF)).cast("bigint").alias("_staff"))
+    counts as one) and whether a vendor and a staff member are among them.  The kinds of an
+    invoice are a set of code names, so it stays small however many authors there are."""
+    kind = F.col("author_kind")
+    per_invoice = _invoice_authors(invoice_authors, codes).groupBy("invoice_id").agg(
+        (F.size(F.collect_set(kind)) + F.max(flag01(kind.isNull()))).cast("bigint").alias("_kinds"),
+        F.max(flag01(kind == K.KIND_VENDOR)).cast("bigint").alias("_vendor"),
+        F.max(flag01(kind == K.KIND_STAFF)).cast("bigint").alias("_staff"))
     return invoices.join(per_invoice, on="invoice_id", how="left").fillna({"_kinds": 1, "_vendor": 0, "_staff": 0})
 
 
+def job_line_items(bridge: DataFrame, line_items: DataFrame, invoices: DataFrame, invoice_authors: DataFrame, codes: DataFrame,
+                   splits: Mapping[str, Split] = {}) -> DataFrame:
+    """Line items by job with what the invoice branch needs of their invoice."""
+    return bridge_join(bridge, line_items, with_authors(invoices, invoice_authors, codes), AUTHOR_COLUMNS, splits)
+
+
 def invoice_rollup(bridge: DataFrame, line_items: DataFrame, invoices: DataFrame, invoice_authors: DataFrame,
-                   codes: DataFrame) -> DataFrame:
+                   codes: DataFrame, splits: Mapping[str, Split] = {}) -> DataFrame:
     """Amount and invoice counts in one pass over the line items (C15 + C16 merged).
 
     Author kinds are facts of the invoice, so they ride along with the one invoice look-up
@@ -197,7 +232,11 @@ def invoice_rollup(bridge: DataFrame, line_items: DataFrame, invoices: DataFrame
     count of distinct (job, invoice, dates, kind), and every line item's amount is summed
     once, as in the separate amount branch.
     """
-    rows = bridge_join(bridge, line_items, with_authors(invoices, invoice_authors, codes), AUTHOR_COLUMNS)
+    return invoice_totals(job_line_items(bridge, line_items, invoices, invoice_authors, codes, splits))
+
+
+def invoice_totals(rows: DataFrame) -> DataFrame:
+    """One row per job from ``job_line_items``."""
     per_invoice = rows.groupBy("job_id", "invoice_id", "invoice_date", "created_at").agg(
         F.sum("amount").alias("_amount"), *[F.max(c).alias(c) for c in AUTHOR_COLUMNS])
     return per_invoice.groupBy("job_id").agg(
@@ -213,10 +252,20 @@ def logged_hours(time_tracking: DataFrame, codes: DataFrame, scale: int = 0) ->
     Only entries whose object kind is the job kind count (the decode is the filter).
     Seconds are summed as integers and divided once, so the total is exact.
     """
+    return hours_per_job(job_seconds(time_tracking, codes), scale)
+
+
+def job_seconds(time_tracking: DataFrame, codes: DataFrame) -> DataFrame:
+    """The jobs' time entries: job_id and whole seconds."""
     kind = code_slice(codes, K.NS_TRACKING_OBJECT, "object_type", "object_kind", code_name=K.KIND_JOB)
     tt = decode(time_tracking, kind, "object_type", how="inner")
-    seconds = epoch_seconds(F.col("end_period")) - epoch_seconds(F.col("start_period"))
-    agg = tt.groupBy(F.col("object_id").alias("job_id")).agg(F.sum(seconds).alias("_seconds"))
+    return tt.select(F.col("object_id").alias("job_id"),
+                     (epoch_seconds(F.col("end_period")) - epoch_seconds(F.col("start_period"))).alias("seconds"))
+
+
+def hours_per_job(entries: DataFrame, scale: int = 0) -> DataFrame:
+    """One row per job from ``job_seconds``."""
+    agg = entries.groupBy("job_id").agg(F.sum("seconds").alias("_seconds"))
     return agg.select("job_id", hours_from_seconds(F.col("_seconds"), scale).alias("logged_hours"))
 
 
@@ -225,21 +274,34 @@ def first_status_times(approvals: DataFrame, approvers: DataFrame, history: Data
                        jobs: DataFrame | None = None) -> DataFrame:
     """Earliest 'requested' and 'approved' status times per job.
 
-    History is reduced to one row per approval before it meets the approvals, and the
-    approver join -- used only for existence, MIN ignores duplicates -- is a semi join,
-    so the approver x history fan-out of the job is never built.
+    Approver and history rows are reduced together, one row per approval, before they meet the
+    approvals: one shuffle for both.  An approval counts if it has a row of each kind, as the
+    job's inner joins ask; MIN ignores duplicates, so the approver x history fan-out is never
+    built.
     """
-    per_approval = history.groupBy("approval_id").agg(
-        F.min(F.when(F.col("approval_status").isin(*K.APPROVAL_REQUESTED_CODES), F.col("updated_at")))
-         .alias("_requested"),
-        F.min(F.when(F.col("approval_status").isin(*K.APPROVAL_APPROVED_CODES), F.col("updated_at")))
-         .alias("_approved"))
-    # distinct approver keys: a partial aggregate collapses an approval with many
-    # approvers map-side, so the semi join's build side has one row per approval
-    a = approvals.join(approvers.select("approval_id").distinct(), on="approval_id", how="left_semi")
+    return status_times_per_job(job_approvals(approvals, approvers, history, jobs))
+
+
+def job_approvals(approvals: DataFrame, approvers: DataFrame, history: DataFrame, jobs: DataFrame | None = None) -> DataFrame:
+    """Approvals with an approver and a history: job_id and their earliest times."""
+    status, at = F.col("approval_status"), F.col("updated_at")
+    known = history.select("approval_id", F.lit(1).alias("_history"), F.lit(None).cast("int").alias("_approver"),
+                           F.when(status.isin(*K.APPROVAL_REQUESTED_CODES), at).alias("_requested"),
+                           F.when(status.isin(*K.APPROVAL_APPROVED_CODES), at).alias("_approved"))
+    time = known.schema["_requested"].dataType
+    known = known.unionByName(approvers.select("approval_id", F.lit(None).cast("int").alias("_history"), F.lit(1).alias("_approver"),
+                                               F.lit(None).cast(time).alias("_requested"), F.lit(None).cast(time).alias("_approved")))
+    per_approval = known.where("approval_id IS NOT NULL").groupBy("approval_id").agg(
+        *[F.max(c).alias(c) for c in ("_history", "_approver")], *[F.min(c).alias(c) for c in ("_requested", "_approved")])
+    per_approval = per_approval.where("_history = 1 AND _approver = 1").select("approval_id", "_requested", "_approved")
+    a = approvals
     if jobs is not None:
         a = a.join(jobs.select(F.col("job_id").alias("related_entity_id")), on="related_entity_id", how="left_semi")
-    a = a.join(per_approval, on="approval_id", how="inner")
-    return a.groupBy(F.col("related_entity_id").alias("job_id")).agg(
-        F.min("_requested").alias("authorization_requested"),
-        F.min("_approved").alias("authorization_approved"))
+    return a.join(per_approval, on="approval_id", how="inner").select(
+        F.col("related_entity_id").alias("job_id"), "_requested", "_approved")
+
+
+def status_times_per_job(times: DataFrame) -> DataFrame:
+    """One row per job from ``job_approvals``."""
+    return times.groupBy("job_id").agg(F.min("_requested").alias("authorization_requested"),
+                                       F.min("_approved").alias("authorization_approved"))

@@ -3,17 +3,21 @@
 Plan shape: jobs are decoded against two broadcast code slices and filtered *before*
 the shuffle that joins them to their requests, so cancelled jobs never cross the
 network; the property is looked up for the requests, which are fewer and narrower than
-the jobs, with NULL asset keys spread over all partitions (``operators.lookup``).
+the jobs, with NULL asset keys spread over all partitions (``operators.lookup``).  Requests
+with a large share of all jobs are split (``operators.hotkeys``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobfacts import constants as K
 from jobfacts.functions.codes import code_slice, decode, label_normalize
 from jobfacts.functions.timeops import billable_hours, to_local_time
+from jobfacts.operators.hotkeys import NO_SPLIT, Split, split_join
 from jobfacts.operators.lookup import left_lookup
 
 
@@ -40,10 +44,18 @@ def live_jobs(jobs: DataFrame, codes: DataFrame) -> DataFrame:
     return decode(live, completer, "completed_by_type", how="left")
 
 
-def job_spine(requests: DataFrame, jobs: DataFrame, codes: DataFrame, properties: DataFrame) -> DataFrame:
+def located_requests(requests: DataFrame, properties: DataFrame, splits: Mapping[str, Split] = {}) -> DataFrame:
+    """Requests with the market of their property."""
     props = properties.withColumnRenamed("asset_id", "_asset")
-    located = left_lookup(requests, props, "asset_id", "_asset", "service_request_id").drop("_asset")
-    spine = located.join(live_jobs(jobs, codes), on="service_request_id", how="inner")
+    return left_lookup(requests, props, "asset_id", "_asset", "service_request_id",
+                       split=splits.get("request_asset", NO_SPLIT)).drop("_asset")
+
+
+def job_spine(requests: DataFrame, jobs: DataFrame, codes: DataFrame, properties: DataFrame,
+              splits: Mapping[str, Split] = {}) -> DataFrame:
+    located = located_requests(requests, properties, splits)
+    spine = split_join(live_jobs(jobs, codes), located, ["service_request_id"],
+                       left_split=splits.get("job_request", NO_SPLIT), by=["job_id"])
     return spine.select(
         "job_id", "external_id", "created_at", "completed_at", "scope_of_work", "summary",
         "service_request_id", "lease_flow_id", "request_type", "assigned_vendor_id",

@@ -16,13 +16,14 @@ it is its group's latest row; groups match null-safe, as NULL workers form a gro
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobfacts import constants as K
+from jobfacts.operators.hotkeys import NO_SPLIT, WORKER_PAIR, Split, split_join
 
 RATING_COLUMNS = ("survey_id", "question_id", "survey_created_at", "vendor_or_tech_rating",
                   "vendor_tech_csat_comment")
@@ -57,15 +58,17 @@ def dedupe_order() -> list[Column]:
             *_nulls_last("vendor_tech_csat_comment")]
 
 
-def rating_rows(questions: DataFrame, question_types: DataFrame, csat: DataFrame) -> DataFrame:
-    """Vendor/technician rating answers joined to their survey (filtered input of C20)."""
+def rating_rows(questions: DataFrame, question_types: DataFrame, csat: DataFrame, splits: Mapping[str, Split] = {}) -> DataFrame:
+    """Vendor/technician rating answers joined to their survey (filtered input of C20).  Surveys
+    with a large share of the answers, or of the survey rows, are split."""
     q = questions.filter(F.col("question_type_id").isin(*K.RATING_QUESTION_TYPES))
     # question types: an enumeration, joined for existence and its labels
     q = q.join(question_types, on="question_type_id", how="inner")
     s = csat.select("survey_id", F.col("related_entity_id").alias("service_request_id"),
                     F.col("surveyed_time").alias("survey_created_at"),
                     F.col("comment").alias("vendor_tech_csat_comment"))
-    rows = q.join(s, on="survey_id", how="inner")
+    rows = split_join(q, s, ["survey_id"], left_split=splits.get("question_survey", NO_SPLIT), by=["question_id"],
+                      right_split=splits.get("csat_survey", NO_SPLIT), right_by=["service_request_id", "survey_created_at"])
     return rows.select(
         "survey_id", "service_request_id", "question_id", "question_type_id", "question_type",
         F.col("text").alias("survey_text"),
@@ -103,10 +106,11 @@ def latest_ratings(rows: DataFrame) -> DataFrame:
     return _with_flag(rows).filter("latest_survey").select(*FLAG_KEYS, *RATING_COLUMNS)
 
 
-def two_key_latest_join(workers: DataFrame, ratings: DataFrame) -> DataFrame:
+def two_key_latest_join(workers: DataFrame, ratings: DataFrame, splits: Mapping[str, Split] = {}) -> DataFrame:
     """Job-keyed survey branch (C21): each job's (request, worker) pair looked up in the
     latest ratings.  ``workers`` is narrow (job, request, worker), so the re-key by
-    (request, worker) shuffles three columns, not the wide fact row."""
-    r = ratings.withColumnRenamed("service_request_id", "_req").withColumnRenamed("vendor_or_tech_id", "_worker")
-    cond = (workers["service_request_id"] == r["_req"]) & (workers["worker_id"] == r["_worker"])
-    return workers.join(r, cond, "inner").select("job_id", *RATING_COLUMNS)
+    (request, worker) shuffles three columns, not the wide fact row; pairs with a large share
+    of the jobs are split."""
+    r = ratings.withColumnRenamed("vendor_or_tech_id", "worker_id")
+    return split_join(workers.select("job_id", "service_request_id", "worker_id"), r, ["service_request_id", "worker_id"],
+                      left_split=splits.get(WORKER_PAIR, NO_SPLIT), by=["job_id"]).select("job_id", *RATING_COLUMNS)

@@ -2,31 +2,37 @@
 
 The plan:
 
-* the spine is built once (jobs decoded and filtered before their only shuffle with
-  the requests);
-* dimension lookups (vendors, users, area rates) add columns to the spine rows;
+* what depends on the request alone (market, area rates, the move-in window of its lease) is
+  looked up once per request;
+* all look-ups of a job run on its keys (``job_keys``: job, request, vendor, staff and the
+  creation time); descriptions and other wide columns stay with the jobs and meet the result
+  once, by ``job_id``;
 * every child table is aggregated per job on its own (``operators.rollups``) -- the
   spine is not re-joined inside a branch -- and each branch leaves its aggregate
   hash-partitioned by ``job_id``;
-* the two branches keyed by something other than the job (move-in window by lease,
-  survey by request and worker) start from narrow projections of the jobs and
-  requests tables -- the spine is not rebuilt for them -- and end keyed by job, so the
-  wide fact row is shuffled once, by ``job_id``;
+* the survey branch, keyed by request and worker, starts from a narrow projection of the jobs
+  and ends keyed by job;
 * the assembly is a chain of LEFT sort-merge joins on ``job_id`` that reuses one
-  hash partitioning (one exchange per input, none between joins).
+  hash partitioning (one exchange per input, none between joins);
+* keys with a large share of a relation are found by one sketch job first and split in
+  their joins (``operators.hotkeys``).
 
 The dimensions must be unique on their keys; ``plans.sink`` checks that before it writes.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobfacts import constants as K
 from jobfacts.functions.flags import conditional_attribute, defaulted_flag, exists_flag
-from jobfacts.functions.timeops import elapsed_hours
-from jobfacts.operators import dimensions, ranges, rollups, spine as spine_ops, survey
+from jobfacts.functions.codes import label_normalize
+from jobfacts.functions.timeops import billable_hours, elapsed_hours
+from jobfacts.operators import dimensions, hotkeys, ranges, rollups, spine as spine_ops, survey
+from jobfacts.operators.hotkeys import NO_SPLIT, Split, split_join
 from jobfacts.sources.roles import Roles
 
 FACT_COLUMNS = (
@@ -81,15 +87,54 @@ def _final_columns() -> list[Column]:
 
 
 # -- C24: the plan -----------------------------------------------------------------------
-def job_fact(r: Roles, live_only: bool = False) -> DataFrame:
+def request_facts(r: Roles, splits: Mapping[str, Split] = {}) -> DataFrame:
+    """Requests with market, area rates and move-in window: everything that follows from them."""
+    located = spine_ops.located_requests(r.requests, r.properties, splits)
+    rated = dimensions.requests_with_rates(located, r.rates, splits)
+    return ranges.requests_with_move_in(rated, r.leases, K.SERVICE_REQUEST_TYPE, K.MOVE_IN_WINDOW_DAYS)
+
+
+def job_keys(r: Roles, splits: Mapping[str, Split] = {}) -> DataFrame:
+    """Live jobs with all that is looked up for them, without their own wide columns."""
+    live = spine_ops.live_jobs(r.jobs, r.codes).select(
+        "job_id", "service_request_id", "assigned_vendor_id", "assigned_staff_id", "created_at", "completed_by_kind")
+    keyed = split_join(live, request_facts(r, splits), ["service_request_id"], left_split=splits.get("job_request", NO_SPLIT), by=["job_id"])
+    staff = spine_ops.completed_by_label(F.col("completed_by_kind")) == F.lit(K.LABEL_STAFF)
+    keyed = keyed.select("job_id", "service_request_id", "lease_flow_id", "market_id", "assigned_vendor_id", "assigned_staff_id",
+                         ranges.moved_in(F.col("created_at")).alias("within_move_in"),
+                         *[F.when(staff, F.col(c)).alias(c) for c in dimensions.RATE_COLUMNS])
+    return dimensions.resolve_worker(keyed, r.vendors, r.users, splits).drop("assigned_vendor_id", "assigned_staff_id")
+
+
+def job_details(jobs: DataFrame, codes: DataFrame) -> DataFrame:
+    """The live jobs' own columns, as the fact shows them."""
+    return spine_ops.live_jobs(jobs, codes).select(
+        "job_id", "external_id", "created_at", "completed_at", "scope_of_work", "summary", "assigned_staff_id",
+        spine_ops.completed_by_label(F.col("completed_by_kind")).alias("completed_by"),
+        label_normalize(F.col("status_name")).alias("job_status"), billable_hours(F.col("billable_minutes")).alias("billable_hours"))
+
+
+def survey_ratings(r: Roles, workers: DataFrame, splits: Mapping[str, Split] = {}) -> DataFrame:
+    """The survey branch of ``workers`` (job, request, worker)."""
+    ratings = survey.latest_ratings(survey.rating_rows(r.survey_questions, r.question_types, r.csat, splits))
+    return survey.two_key_latest_join(workers, ratings, splits)
+
+
+def assemble(details: DataFrame, branches: list[DataFrame]) -> DataFrame:
+    """``details`` with the job keys (first of ``branches``, INNER) and all others LEFT joined by job."""
+    fact = details.join(branches[0], on="job_id", how="inner")
+    for b in branches[1:]:
+        fact = fact.join(b, on="job_id", how="left")
+    return fact.select(*_final_columns())
+
+
+def job_fact(r: Roles, live_only: bool = False, splits: Mapping[str, Split] | None = None) -> DataFrame:
     """The fact.  ``live_only=True`` semi-joins every child table to the live job keys
     before it is aggregated: worth it when the spine keeps a small share of all jobs
     (children of dead jobs are then dropped before their shuffle instead of being
-    aggregated and discarded at assembly).  Both settings return the same rows."""
-    spine = spine_ops.job_spine(r.requests, r.jobs, r.codes, r.properties)
-    jobs = dimensions.resolve_worker(spine, r.vendors, r.users)
-    jobs = dimensions.attach_rates(jobs, r.rates)
-
+    aggregated and discarded at assembly).  Both settings return the same rows.
+    ``splits`` are the frequent keys (default: found by ``hotkeys.profile``)."""
+    splits = hotkeys.profile(r) if splits is None else splits
     # live keys from the jobs table and its codes alone, not from the joined spine
     live_ids = spine_ops.live_jobs(r.jobs, r.codes).select("job_id")
 
@@ -98,30 +143,22 @@ def job_fact(r: Roles, live_only: bool = False) -> DataFrame:
             return df
         return df.join(live_ids.withColumnRenamed("job_id", key), on=key, how="left_semi")
 
-    # Narrow job rows for the two branches keyed by something other than the job: read
-    # from the jobs table alone (no second spine), non-live jobs drop out at assembly.
-    local = live(spine_ops.local_jobs(r.jobs))
     workers = live(r.jobs).select("job_id", "service_request_id",
                                   F.coalesce("assigned_staff_id", "assigned_vendor_id").alias("worker_id"))
-    ratings = survey.latest_ratings(survey.rating_rows(r.survey_questions, r.question_types, r.csat))
-    branches = [
+    return assemble(job_details(r.jobs, r.codes), [
+        job_keys(r, splits),
         rollups.response_flags(live(r.invitations), r.codes),
         rollups.fanout_counts(live(r.notes, "reference_id"), r.note_files, r.codes),
         rollups.first_schedule(live(r.scheduled_services)),
-        rollups.invoice_rollup(live(r.bridge), r.line_items, r.invoices, r.invoice_authors, r.codes),
+        rollups.invoice_rollup(live(r.bridge), r.line_items, r.invoices, r.invoice_authors, r.codes, splits),
         rollups.logged_hours(live(r.time_tracking, "object_id"), r.codes),
         rollups.first_status_times(live(r.approvals, "related_entity_id"), r.approvers, r.approval_history),
-        ranges.move_in_flag(local, r.requests, r.leases, K.SERVICE_REQUEST_TYPE, K.MOVE_IN_WINDOW_DAYS),
-        survey.two_key_latest_join(workers, ratings),
-    ]
-    fact = jobs
-    for b in branches:
-        fact = fact.join(b, on="job_id", how="left")
-    return fact.select(*_final_columns())
+        survey_ratings(r, workers, splits),
+    ])
 
 
-def spine_with_branches(r: Roles) -> DataFrame:
+def spine_with_branches(r: Roles, splits: Mapping[str, Split] = {}) -> DataFrame:
     """Spine plus the invitation branch only: the input of C22/C23's queries."""
-    spine = spine_ops.job_spine(r.requests, r.jobs, r.codes, r.properties)
-    jobs = dimensions.resolve_worker(spine, r.vendors, r.users)
+    spine = spine_ops.job_spine(r.requests, r.jobs, r.codes, r.properties, splits)
+    jobs = dimensions.resolve_worker(spine, r.vendors, r.users, splits)
     return jobs.join(rollups.response_flags(r.invitations, r.codes), on="job_id", how="left")

@@ -17,15 +17,42 @@ from pyspark.sql import functions as F
 from jobfacts import constants as K
 from jobfacts.functions.codes import code_slice, decode, label_normalize
 from jobfacts.functions.timeops import billable_hours, elapsed_hours, to_local_time
-from jobfacts.operators import dimensions, ranges, rollups, spine as spine_ops, survey
+from jobfacts.operators import dimensions, hotkeys, ranges, rollups, spine as spine_ops, survey
+from jobfacts.operators.hotkeys import WORKER_PAIR, Split
 from jobfacts.plans import checks, fact
 from jobfacts.sources.roles import Roles
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _spine(r: Roles) -> DataFrame:
-    return spine_ops.job_spine(r.requests, r.jobs, r.codes, r.properties)
+#: the joins of the spine that a frequent key can load
+SPINE_JOINS = ("job_request", "request_asset")
+WORKER_JOINS = ("job_vendor", "job_staff")
+
+
+def _splits(r: Roles, *joins: str) -> dict[str, Split]:
+    return hotkeys.profile(r, joins)
+
+
+def _spine(r: Roles, splits: dict[str, Split] | None = None) -> DataFrame:
+    splits = _splits(r, *SPINE_JOINS) if splits is None else splits
+    return spine_ops.job_spine(r.requests, r.jobs, r.codes, r.properties, splits)
+
+
+def worker_resolution_q(r: Roles) -> DataFrame:
+    splits = _splits(r, *SPINE_JOINS, *WORKER_JOINS)
+    return dimensions.worker_branch(_spine(r, splits), r.vendors, r.users, splits)
+
+
+def within_days_of_q(r: Roles) -> DataFrame:
+    live = spine_ops.live_jobs(r.jobs, r.codes)
+    return ranges.move_in_jobs(live, r.requests, r.leases, K.SERVICE_REQUEST_TYPE, K.MOVE_IN_WINDOW_DAYS,
+                               _splits(r, "job_request")["job_request"])
+
+
+def two_key_latest_join_q(r: Roles) -> DataFrame:
+    splits = _splits(r, WORKER_PAIR, "job_request", "question_survey", "csat_survey")
+    return survey.two_key_latest_join(_narrow_workers(r, splits), survey.latest_ratings(_ratings(r, splits)), splits)
 
 
 def _live(df: DataFrame, r: Roles) -> DataFrame:
@@ -34,9 +61,12 @@ def _live(df: DataFrame, r: Roles) -> DataFrame:
                    .select("job_id"), on="job_id", how="left_semi")
 
 
-def _narrow_workers(r: Roles) -> DataFrame:
-    return _spine(r).select("job_id", "service_request_id",
-                            F.coalesce("assigned_staff_id", "assigned_vendor_id").alias("worker_id"))
+def _narrow_workers(r: Roles, splits: dict[str, Split]) -> DataFrame:
+    """(job, request, worker) of the live jobs whose request exists."""
+    live = spine_ops.live_jobs(r.jobs, r.codes).select("job_id", "service_request_id",
+                                                       F.coalesce("assigned_staff_id", "assigned_vendor_id").alias("worker_id"))
+    return hotkeys.split_join(live, r.requests.select("service_request_id"), ["service_request_id"],
+                              left_split=splits["job_request"], by=["job_id"])
 
 
 def code_slice_q(r: Roles) -> DataFrame:
@@ -89,11 +119,17 @@ def billable_hours_q(r: Roles) -> DataFrame:
 
 
 def _line_items(r: Roles) -> DataFrame:
-    return rollups.bridge_join(r.bridge, r.line_items, r.invoices)
+    return rollups.bridge_join(r.bridge, r.line_items, r.invoices, splits=_splits(r, "item_invoice"))
+
+
+def distinct_then_count_q(r: Roles) -> DataFrame:
+    return _live(rollups.invoice_rollup(r.bridge, r.line_items, r.invoices, r.invoice_authors, r.codes,
+                                        _splits(r, "item_invoice")).drop("invoice_amount"), r)
 
 
-def _ratings(r: Roles) -> DataFrame:
-    return survey.rating_rows(r.survey_questions, r.question_types, r.csat)
+def _ratings(r: Roles, splits: dict[str, Split] | None = None) -> DataFrame:
+    splits = _splits(r, "question_survey", "csat_survey") if splits is None else splits
+    return survey.rating_rows(r.survey_questions, r.question_types, r.csat, splits)
 
 
 def check_primary_key_q(r: Roles) -> DataFrame:
@@ -111,25 +147,20 @@ _QUERIES: dict[str, Callable[[Roles], DataFrame]] = {
     "elapsed_hours": elapsed_hours_q,
     "billable_hours": billable_hours_q,
     "dimension_rates": lambda r: dimensions.labor_rates(_spine(r), r.rates),
-    "worker_resolution": lambda r: dimensions.worker_branch(_spine(r), r.vendors, r.users),
+    "worker_resolution": worker_resolution_q,
     "response_flags": lambda r: _live(rollups.response_flags(r.invitations, r.codes), r),
-    # names of an earlier round, kept for callers: the same relations as without the suffix
-    "response_flags_windowed": lambda r: _live(rollups.response_flags(r.invitations, r.codes), r),
-    "job_fact_literal": fact.job_fact,
+    "response_flags_windowed": lambda r: _live(rollups.response_flags_windowed(r.invitations, r.codes), r),
     "fanout_counts": lambda r: _live(rollups.fanout_counts(r.notes, r.note_files, r.codes), r),
     "first_per_key": lambda r: _live(rollups.first_schedule(r.scheduled_services), r),
     "bridge_join": _line_items,
-    "distinct_then_count": lambda r: _live(
-        rollups.invoice_rollup(r.bridge, r.line_items, r.invoices, r.invoice_authors, r.codes).drop("invoice_amount"), r),
+    "distinct_then_count": distinct_then_count_q,
     "sum_amount": lambda r: _live(rollups.sum_amount(_line_items(r)), r),
     "logged_hours": lambda r: _live(rollups.logged_hours(r.time_tracking, r.codes), r),
     "first_status_times": lambda r: rollups.first_status_times(r.approvals, r.approvers, r.approval_history,
                                                                jobs=r.jobs),
-    "within_days_of": lambda r: ranges.move_in_matches(_spine(r), r.leases, K.SERVICE_REQUEST_TYPE,
-                                                       K.MOVE_IN_WINDOW_DAYS),
+    "within_days_of": within_days_of_q,
     "latest_flag_with_dedupe": lambda r: survey.latest_flag_with_dedupe(_ratings(r)),
-    "two_key_latest_join": lambda r: survey.two_key_latest_join(_narrow_workers(r),
-                                                                survey.latest_ratings(_ratings(r))),
+    "two_key_latest_join": two_key_latest_join_q,
     "defaulted_flags": lambda r: fact.spine_with_branches(r).select(
         "job_id", *[c.alias(n) for n, c in fact.invitation_flags().items()]),
     "conditional_attribute": lambda r: fact.spine_with_branches(r).select(
