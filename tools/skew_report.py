@@ -61,10 +61,11 @@ def main(sf_dir: str, query: str, mode: str, static: bool = False, small_split:
         spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(256 * 1024))
     if static:
-        # the plan's own partitioning: no runtime re-planning, no broadcasts, so every
-        # exchange is a real hash shuffle (what a large cluster runs for big inputs)
+        # the plan's own partitioning: no runtime re-planning, and no broadcasts but of the
+        # code slices (inline rows), so every other join is a real hash shuffle (what a large
+        # cluster runs for big inputs)
         spark.conf.set("spark.sql.adaptive.enabled", "false")
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1024")
     spark.sparkContext.setLogLevel("ERROR")
     if mode == "skewed":
         def roles_cls(sp, d):
