@@ -54,15 +54,19 @@ def sketch(relations: Sequence[tuple[DataFrame, Mapping[str, Sequence[str]]]], s
     scanned once for its key columns."""
     spark = relations[0][0].sparkSession
     names = [n for _, keys in relations for n in keys]
-    parts = [df.select(F.inline(F.array(*[F.struct(F.lit(names.index(n)).alias("name"), key_hash(*[F.col(c) for c in columns]).alias("h"))
-                                          for n, columns in keys.items()]))) for df, keys in relations]
-    found = (reduce(DataFrame.unionByName, parts).groupBy("name")
-             .agg(F.expr(f"approx_top_k(h, {min(TRACKED // 4, round(2 / share))}, {TRACKED})").alias("top"), F.count(F.lit(1)).alias("n")))
+    top = min(TRACKED // 4, round(2 / share))
+
+    def sketched(df: DataFrame, keys: Mapping[str, Sequence[str]]) -> DataFrame:
+        hashed = df.select(*[key_hash(*[F.col(c) for c in columns]).alias(n) for n, columns in keys.items()])
+        one = hashed.agg(F.count(F.lit(1)).alias("n"), *[F.expr(f"approx_top_k({n}, {top}, {TRACKED})").alias(n) for n in keys])
+        return one.select(F.inline(F.array(*[F.struct(F.lit(n).alias("name"), F.col("n"), F.col(n).alias("top")) for n in keys])))
+
+    found = reduce(DataFrame.unionByName, [sketched(df, keys) for df, keys in relations])
     salts = salts_for(spark)
     out = dict.fromkeys(names, NO_SPLIT)
     for row in found.collect():  # one row a name
         hashes = tuple(sorted(t["item"] for t in row["top"] if t["item"] is not None and t["count"] > share * row["n"]))
-        out[names[row["name"]]] = Split(hashes, salts) if hashes else NO_SPLIT
+        out[row["name"]] = Split(hashes, salts) if hashes else NO_SPLIT
     return out
 
 
