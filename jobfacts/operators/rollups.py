@@ -237,8 +237,16 @@ def invoice_rollup(bridge: DataFrame, line_items: DataFrame, invoices: DataFrame
 
 def invoice_totals(rows: DataFrame) -> DataFrame:
     """One row per job from ``job_line_items``."""
-    per_invoice = rows.groupBy("job_id", "invoice_id", "invoice_date", "created_at").agg(
+    return totals_per_job(items_per_invoice(rows))
+
+
+def items_per_invoice(rows: DataFrame) -> DataFrame:
+    """One row per (job, invoice, dates): the summed amount and the invoice's author kinds."""
+    return rows.groupBy("job_id", "invoice_id", "invoice_date", "created_at").agg(
         F.sum("amount").alias("_amount"), *[F.max(c).alias(c) for c in AUTHOR_COLUMNS])
+
+
+def totals_per_job(per_invoice: DataFrame) -> DataFrame:
     return per_invoice.groupBy("job_id").agg(
         F.sum("_amount").cast(K.MONEY_SUM_TYPE).alias("invoice_amount"),
         *_invoice_aggregates(F.col("_kinds"), F.col("_vendor"), F.col("_staff")),

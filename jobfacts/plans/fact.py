@@ -33,6 +33,7 @@ from jobfacts.functions.codes import label_normalize
 from jobfacts.functions.timeops import billable_hours, elapsed_hours
 from jobfacts.operators import dimensions, hotkeys, ranges, rollups, spine as spine_ops, survey
 from jobfacts.operators.hotkeys import NO_SPLIT, Split, split_join
+from jobfacts.operators.lookup import left_lookup
 from jobfacts.sources.roles import Roles
 
 FACT_COLUMNS = (
@@ -114,6 +115,24 @@ def job_details(jobs: DataFrame, codes: DataFrame) -> DataFrame:
         label_normalize(F.col("status_name")).alias("job_status"), billable_hours(F.col("billable_minutes")).alias("billable_hours"))
 
 
+def fact_rows(r: Roles, splits: Mapping[str, Split] = {}) -> DataFrame:
+    """One row per row of the fact, ``job_id`` alone: the jobs' details with their looked-up
+    keys.  The branches, one row a job by construction, can't add or remove any."""
+    return job_details(r.jobs, r.codes).select("job_id").join(job_keys(r, splits).select("job_id"), on="job_id", how="inner")
+
+
+def fact_references(r: Roles, splits: Mapping[str, Split] = {}, vendors: bool = True) -> DataFrame:
+    """``job_id`` and the foreign keys of the fact's rows, from the jobs, their requests and (for
+    ``vendor_id``, which comes from the look-up) the vendors."""
+    live = spine_ops.live_jobs(r.jobs, r.codes).select("job_id", "service_request_id", "assigned_vendor_id", "assigned_staff_id")
+    rows = split_join(live, r.requests.select("service_request_id"), ["service_request_id"],
+                      left_split=splits.get("job_request", NO_SPLIT), by=["job_id"])
+    if not vendors:
+        return rows.drop("assigned_vendor_id")
+    return left_lookup(rows, r.vendors.select("vendor_id"), "assigned_vendor_id", "vendor_id", "job_id",
+                       split=splits.get("job_vendor", NO_SPLIT)).drop("assigned_vendor_id")
+
+
 def survey_ratings(r: Roles, workers: DataFrame, splits: Mapping[str, Split] = {}) -> DataFrame:
     """The survey branch of ``workers`` (job, request, worker)."""
     ratings = survey.latest_ratings(survey.rating_rows(r.survey_questions, r.question_types, r.csat, splits))

@@ -8,6 +8,7 @@ operators without that restriction (the final LEFT join applies it).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -19,7 +20,8 @@ from jobfacts.functions.codes import code_slice, decode, label_normalize
 from jobfacts.functions.timeops import billable_hours, elapsed_hours, to_local_time
 from jobfacts.operators import dimensions, hotkeys, ranges, rollups, spine as spine_ops, survey
 from jobfacts.operators.hotkeys import WORKER_PAIR, Split
-from jobfacts.plans import checks, fact
+from jobfacts.plans import bucketed, checks, fact
+from jobfacts.plans.files import work_folder
 from jobfacts.sources.roles import Roles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -133,10 +135,26 @@ def _ratings(r: Roles, splits: dict[str, Split] | None = None) -> DataFrame:
 
 
 def check_primary_key_q(r: Roles) -> DataFrame:
-    targets = [("job_fact", fact.job_fact(r), ["job_id"]), *checks.dimension_keys(r)]
+    rows = fact.fact_rows(r, _splits(r, *SPINE_JOINS, "request_area", *WORKER_JOINS))
+    targets = [("job_fact", rows, ["job_id"]), *checks.dimension_keys(r)]
     return reduce(DataFrame.unionByName, [checks.check_primary_key(df, k, n) for n, df, k in targets])
 
 
+def check_foreign_key_q(r: Roles) -> DataFrame:
+    return checks.fact_key_checks(fact.fact_references(r, _splits(r, "job_request", "job_vendor")), r.requests, r.vendors, r.users)
+
+
+def foreign_key_violations_q(r: Roles) -> DataFrame:
+    rows = fact.fact_references(r, _splits(r, "job_request"), vendors=False)
+    return checks.foreign_key_violations(rows, "assigned_staff_id", r.users, "staff_id").select("job_id", "assigned_staff_id")
+
+
+def job_fact_bucketed_q(r: Roles) -> DataFrame:
+    path = f"{work_folder(r.spark)}/bucketed-{uuid.uuid4().hex}"
+    bucketed.prepare(r, path, int(r.spark.conf.get("spark.sql.shuffle.partitions")))
+    return bucketed.bucketed_fact(r.spark, path)
+
+
 _QUERIES: dict[str, Callable[[Roles], DataFrame]] = {
     "code_slice": code_slice_q,
     "decode_inner": decode_inner_q,
@@ -166,12 +184,12 @@ _QUERIES: dict[str, Callable[[Roles], DataFrame]] = {
     "conditional_attribute": lambda r: fact.spine_with_branches(r).select(
         "job_id", "worker_type", "job_status", "market_id", fact.in_house_market().alias("in_house_market")),
     "job_fact": fact.job_fact,
+    "job_fact_bucketed": job_fact_bucketed_q,
     "job_fact_live_only": lambda r: fact.job_fact(r, live_only=True),
     "check_primary_key": check_primary_key_q,
-    "check_foreign_key": lambda r: checks.fact_key_checks(fact.job_fact(r), r.requests, r.vendors, r.users),
+    "check_foreign_key": check_foreign_key_q,
     "primary_key_violations": lambda r: checks.primary_key_violations(r.scheduled_services, ["job_id", "created_at"]),
-    "foreign_key_violations": lambda r: checks.foreign_key_violations(
-        fact.job_fact(r), "assigned_staff_id", r.users, "staff_id").select("job_id", "assigned_staff_id"),
+    "foreign_key_violations": foreign_key_violations_q,
 }
 
 
