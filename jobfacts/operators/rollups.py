@@ -162,19 +162,19 @@ def first_schedule(scheduled: DataFrame, tie_break: Sequence[str] = SCHEDULE_TIE
 
 # -- C14-C16: line items, invoice counts and amounts ----------------------------------
 def bridge_join(bridge: DataFrame, line_items: DataFrame, invoices: DataFrame, carry: Sequence[str] = (),
-                splits: Mapping[str, Split] = {}) -> DataFrame:
+                splits: Mapping[str, Split] = {}, key: Sequence[str] = LINE_ITEM_KEY) -> DataFrame:
     """Line items of each job with their (live, paid) invoice (C14) and its columns ``carry``.
 
     A NULL invoice flag fails the equality and drops the row, as in the job.  An invoice with a
-    large share of all items is split by the items' key.
+    large share of all items is split by the items' ``key``, which the bridge shares.
     """
     live = invoices.filter((F.col("is_voided") == F.lit(False)) & (F.col("is_paid") == F.lit(True))
                            & (F.col("is_deleted") == F.lit(False)))
     # the invoice lookup first: it filters, and as a dimension it is usually broadcast,
     # so the line-item stream shrinks before the bridge join shuffles it
     items = split_join(line_items, live.select("invoice_id", "invoice_date", "created_date", *carry), ["invoice_id"],
-                       left_split=splits.get("item_invoice", NO_SPLIT), by=LINE_ITEM_KEY)
-    items = bridge.join(items, on=list(LINE_ITEM_KEY), how="inner")
+                       left_split=splits.get("item_invoice", NO_SPLIT), by=key)
+    items = bridge.join(items, on=list(key), how="inner")
     return items.select("job_id", "amount", "invoice_id", "invoice_date",
                         F.col("created_date").alias("created_at"), *carry)
 
@@ -217,13 +217,13 @@ def with_authors(invoices: DataFrame, invoice_authors: DataFrame, codes: DataFra
 
 
 def job_line_items(bridge: DataFrame, line_items: DataFrame, invoices: DataFrame, invoice_authors: DataFrame, codes: DataFrame,
-                   splits: Mapping[str, Split] = {}) -> DataFrame:
+                   splits: Mapping[str, Split] = {}, key: Sequence[str] = LINE_ITEM_KEY) -> DataFrame:
     """Line items by job with what the invoice branch needs of their invoice."""
-    return bridge_join(bridge, line_items, with_authors(invoices, invoice_authors, codes), AUTHOR_COLUMNS, splits)
+    return bridge_join(bridge, line_items, with_authors(invoices, invoice_authors, codes), AUTHOR_COLUMNS, splits, key)
 
 
 def invoice_rollup(bridge: DataFrame, line_items: DataFrame, invoices: DataFrame, invoice_authors: DataFrame,
-                   codes: DataFrame, splits: Mapping[str, Split] = {}) -> DataFrame:
+                   codes: DataFrame, splits: Mapping[str, Split] = {}, key: Sequence[str] = LINE_ITEM_KEY) -> DataFrame:
     """Amount and invoice counts in one pass over the line items (C15 + C16 merged).
 
     Author kinds are facts of the invoice, so they ride along with the one invoice look-up
@@ -232,7 +232,7 @@ def invoice_rollup(bridge: DataFrame, line_items: DataFrame, invoices: DataFrame
     count of distinct (job, invoice, dates, kind), and every line item's amount is summed
     once, as in the separate amount branch.
     """
-    return invoice_totals(job_line_items(bridge, line_items, invoices, invoice_authors, codes, splits))
+    return invoice_totals(job_line_items(bridge, line_items, invoices, invoice_authors, codes, splits, key))
 
 
 def invoice_totals(rows: DataFrame) -> DataFrame:

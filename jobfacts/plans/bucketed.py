@@ -43,10 +43,10 @@ _TABLES: dict[str, tuple[Callable[..., DataFrame], Callable[[DataFrame], DataFra
     "keys": (lambda r, s: fact.job_keys(r, s), lambda d: d),
     "responses": (lambda r, s: rollups.response_flags(r.invitations, r.codes), lambda d: d),
     "notes": (lambda r, s: rollups.fanout_counts(r.notes, r.note_files, r.codes), lambda d: d),
-    "schedules": (lambda r, s: rollups.first_schedule(r.scheduled_services), lambda d: d),
+    "schedules": (lambda r, s: rollups.first_schedule(r.scheduled_services, fact.tie_break(r)), lambda d: d),
     # one row per (job, invoice): the hot invoice was split before, the rest adds up in the bucket
     "invoices": (lambda r, s: rollups.items_per_invoice(rollups.job_line_items(
-        r.bridge, r.line_items, r.invoices, r.invoice_authors, r.codes, s)), lambda d: rollups.totals_per_job(d)),
+        r.bridge, r.line_items, r.invoices, r.invoice_authors, r.codes, s, fact.line_item_key(r))), lambda d: rollups.totals_per_job(d)),
     "hours": (lambda r, s: rollups.logged_hours(r.time_tracking, r.codes), lambda d: d),
     "approvals": (lambda r, s: rollups.job_approvals(r.approvals, r.approvers, r.approval_history), lambda d: rollups.status_times_per_job(d)),
     "ratings": (lambda r, s: fact.survey_ratings(r, _workers(r), s), lambda d: d),

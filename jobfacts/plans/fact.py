@@ -34,7 +34,7 @@ from jobfacts.functions.timeops import billable_hours, elapsed_hours
 from jobfacts.operators import dimensions, hotkeys, ranges, rollups, spine as spine_ops, survey
 from jobfacts.operators.hotkeys import NO_SPLIT, Split, split_join
 from jobfacts.operators.lookup import left_lookup
-from jobfacts.sources.roles import Roles
+from jobfacts.sources.roles import LINE_ITEM_KEY, Roles
 
 FACT_COLUMNS = (
     "job_id", "service_request_id", "external_id", "lease_flow_id", "created_at",
@@ -139,6 +139,16 @@ def survey_ratings(r: Roles, workers: DataFrame, splits: Mapping[str, Split] = {
     return survey.two_key_latest_join(workers, ratings, splits)
 
 
+def line_item_key(r) -> tuple[str, ...]:
+    """The columns that bridge and line items share; the test tables' unless the roles name others."""
+    return getattr(r, "line_item_key", LINE_ITEM_KEY)
+
+
+def tie_break(r) -> tuple[str, ...]:
+    """What orders schedule rows of one creation time."""
+    return getattr(r, "schedule_tie_break", rollups.SCHEDULE_TIE_BREAK)
+
+
 def assemble(details: DataFrame, branches: list[DataFrame]) -> DataFrame:
     """``details`` with the job keys (first of ``branches``, INNER) and all others LEFT joined by job."""
     fact = details.join(branches[0], on="job_id", how="inner")
@@ -168,8 +178,8 @@ def job_fact(r: Roles, live_only: bool = False, splits: Mapping[str, Split] | No
         job_keys(r, splits),
         rollups.response_flags(live(r.invitations), r.codes),
         rollups.fanout_counts(live(r.notes, "reference_id"), r.note_files, r.codes),
-        rollups.first_schedule(live(r.scheduled_services)),
-        rollups.invoice_rollup(live(r.bridge), r.line_items, r.invoices, r.invoice_authors, r.codes, splits),
+        rollups.first_schedule(live(r.scheduled_services), tie_break(r)),
+        rollups.invoice_rollup(live(r.bridge), r.line_items, r.invoices, r.invoice_authors, r.codes, splits, line_item_key(r)),
         rollups.logged_hours(live(r.time_tracking, "object_id"), r.codes),
         rollups.first_status_times(live(r.approvals, "related_entity_id"), r.approvers, r.approval_history),
         survey_ratings(r, workers, splits),
