@@ -31,6 +31,19 @@ def decode(df: DataFrame, codes: DataFrame, column: str, how: str = "inner") ->
     return df.join(codes, on=column, how=how)
 
 
+#: Fixed value: the characters after which INITCAP starts a word in the job's dialect.  The
+#: apostrophe is none of them.
+WORD_BREAKS = " \t\n\x0b\x0c\r!?@\"^#$&~_,.:;+-*%/|\\[](){}<>"
+
+
+def initcap(text: Column) -> Column:
+    """First letter of every word up, all others down; words end at ``WORD_BREAKS`` (the built-in
+    function breaks at white space alone)."""
+    after = "(?<=[" + "".join("\\" + c if c in "^-\\[]&" else c for c in WORD_BREAKS) + "])"
+    return F.array_join(F.transform(F.split(F.lower(text), after),
+                                    lambda w: F.concat(F.upper(F.left(w, F.lit(1))), F.substring(w, F.lit(2), F.length(w)))), "")
+
+
 def label_normalize(name: Column) -> Column:
     """``SNAKE_CASE`` code name -> ``Title Case`` label (``IN_PROGRESS`` -> ``In Progress``)."""
-    return F.initcap(F.replace(name, F.lit("_"), F.lit(" ")))
+    return initcap(F.replace(name, F.lit("_"), F.lit(" ")))

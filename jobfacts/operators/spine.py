@@ -37,7 +37,8 @@ def live_jobs(jobs: DataFrame, codes: DataFrame) -> DataFrame:
 
     The exclusion compares the raw code name; a NULL name is dropped as well.
     """
-    status = code_slice(codes, K.NS_JOB_STATUS, "status", "status_name")
+    # labelled once per code, not once per job
+    status = code_slice(codes, K.NS_JOB_STATUS, "status", "status_name").withColumn("status_label", label_normalize(F.col("status_name")))
     completer = code_slice(codes, K.NS_COMPLETED_BY, "completed_by_type", "completed_by_kind")
     live = decode(local_jobs(jobs), status, "status", how="inner")
     live = live.filter(~F.col("status_name").isin(*K.EXCLUDED_JOB_STATUSES))
@@ -61,6 +62,6 @@ def job_spine(requests: DataFrame, jobs: DataFrame, codes: DataFrame, properties
         "service_request_id", "lease_flow_id", "request_type", "assigned_vendor_id",
         "assigned_staff_id", "area_id", "market_id",
         completed_by_label(F.col("completed_by_kind")).alias("completed_by"),
-        label_normalize(F.col("status_name")).alias("job_status"),
+        F.col("status_label").alias("job_status"),
         billable_hours(F.col("billable_minutes")).alias("billable_hours"),
     )

@@ -29,7 +29,6 @@ from pyspark.sql import functions as F
 
 from jobfacts import constants as K
 from jobfacts.functions.flags import conditional_attribute, defaulted_flag, exists_flag
-from jobfacts.functions.codes import label_normalize
 from jobfacts.functions.timeops import billable_hours, elapsed_hours
 from jobfacts.operators import dimensions, hotkeys, ranges, rollups, spine as spine_ops, survey
 from jobfacts.operators.hotkeys import NO_SPLIT, Split, split_join
@@ -112,7 +111,7 @@ def job_details(jobs: DataFrame, codes: DataFrame) -> DataFrame:
     return spine_ops.live_jobs(jobs, codes).select(
         "job_id", "external_id", "created_at", "completed_at", "scope_of_work", "summary", "assigned_staff_id",
         spine_ops.completed_by_label(F.col("completed_by_kind")).alias("completed_by"),
-        label_normalize(F.col("status_name")).alias("job_status"), billable_hours(F.col("billable_minutes")).alias("billable_hours"))
+        F.col("status_label").alias("job_status"), billable_hours(F.col("billable_minutes")).alias("billable_hours"))
 
 
 def fact_rows(r: Roles, splits: Mapping[str, Split] = {}) -> DataFrame:

@@ -128,3 +128,17 @@ def test_hours_match_exact_decimal_arithmetic(spark):
         for scale, value in ((6, r.h6), (0, r.h0), (2, r.h2)):
             expected = exact.quantize(Dec(1).scaleb(-scale), ROUND_HALF_UP)
             assert value == expected, (r.a, r.b, scale, value, expected)
+
+
+def test_initcap_breaks_words_at_punctuation(spark):
+    import duckdb
+
+    from jobfacts import oracle
+    names = ["IN_PROGRESS", "on-hold", "a.b.c", "don't STOP", "x/y (z) [q] {w} <v>", "tab\there", "ünder_ÄRGER", "", "a--b", "2ND_STEP", "back\\slash", "é"]
+    want = ["In Progress", "On-Hold", "A.B.C", "Don't Stop", "X/Y (Z) [Q] {W} <V>", "Tab\tHere", "Ünder Ärger", "", "A--B", "2nd Step", "Back\\Slash", "É"]
+    df = spark.createDataFrame([(s,) for s in [*names, None]], "s string")
+    assert [r[0] for r in df.select(label_normalize(F.col("s"))).collect()] == [*want, None]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (s VARCHAR)")
+    con.executemany("INSERT INTO t VALUES (?)", [(s,) for s in names])
+    assert [r[0] for r in con.execute(f"SELECT {oracle.initcap_label('s')} FROM t").fetchall()] == want
