@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 
@@ -10,25 +11,21 @@ def tokens(t):
 
 
 def brute(data, items):
-    """(doc_id, item_id): most words that agree in a stretch with a seed hit."""
+    """(doc_id, item_id): most words that agree in a stretch, on any diagonal; no seeds."""
     bench = {}
     for i, t in sorted(items, key=lambda x: x[0]):
         bench.setdefault(tuple(tokens(t)), i)
-    span, out = len(decontam.MASKS[0]), {}
+    out = {}
     for d, t in data:
         w = tokens(t)
         for item, number in bench.items():
             n, length = len(item), min(len(item), decontam.STRETCH)
-            if n < span:
-                continue
-            for diag in range(-n, len(w)):
+            for diag in range(-n + 1, len(w) if n else 0):
                 same = [0 <= diag + p < len(w) and w[diag + p] == item[p] for p in range(n)]
-                for p in range(n - span + 1):
-                    if 0 <= diag + p <= len(w) - span and any(all(same[p + k] for k, b in enumerate(m) if b == "1") for m in decontam.MASKS):
-                        for s in range(max(p + span - length, 0), min(p, n - length) + 1):
-                            agree = sum(same[s:s + length])
-                            if 100 * agree >= decontam.SHARE * length:
-                                out[d, number] = max(out.get((d, number), 0), agree)
+                for s in range(n - length + 1):
+                    agree = sum(same[s:s + length])
+                    if 100 * agree >= decontam.SHARE * length:
+                        out[d, number] = max(out.get((d, number), 0), agree)
     return out
 
 
@@ -46,6 +43,32 @@ def sample():
     return data + [(200, None), (201, ""), (202, "..."), (203, items[7][1]), (203, items[7][1])], items
 
 
+def test_every_allowed_placement_has_a_seed():
+    """Items of 1 to 15 words: wherever the changes of an allowed stretch lie, a seed is left."""
+    for n in range(1, 16):
+        stretch = min(n, decontam.STRETCH)
+        most = stretch * (100 - decontam.SHARE) // 100
+        masks = decontam.MASKS if n >= decontam.STRETCH else ("1" * decontam.run_length(n),)
+        for changed in itertools.combinations(range(stretch), most):
+            fits = [all(o + k not in changed for k, b in enumerate(m) if b == "1") for m in masks for o in range(stretch - len(m) + 1)]
+            assert any(fits), (n, changed)
+
+
+def test_short_items_with_changes_are_found(spark):
+    items, data, want = [], [], set()
+    for n in range(1, 16):
+        own = [f"i{n}w{k}" for k in range(n)]
+        items.append((n, " ".join(own)))
+        for i, changed in enumerate(itertools.combinations(range(n), min(n, 13) * 20 // 100)):
+            data.append((1000 * n + i, " ".join(["before"] + ["changed" if k in changed else x for k, x in enumerate(own)] + ["after"])))
+            want.add((1000 * n + i, n))
+    got = decontam.overlaps(docs(spark, data), bench(spark, items))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == want
+    sql = duck({"documents": data, "benchmark": items}, {"documents": "doc_id BIGINT, text VARCHAR", "benchmark": "item_id BIGINT, text VARCHAR"},
+               decontam.oracle_sql())
+    assert {(r[1], r[2]) for r in sql} == want
+
+
 def bench(spark, items):
     return spark.createDataFrame(items, "item_id long, text string")
 
