@@ -124,6 +124,12 @@ def write_archives(records: DataFrame, folder: str, archive_bytes: int = ARCHIVE
     return cut(records.mapInArrow(run, "name string, records long"), "archives")
 
 
+def _place(line: str) -> dict:
+    """The place in an index line; its url is a JSON string and may hold anything."""
+    _, end = json.JSONDecoder().raw_decode(line)
+    return json.loads(line[end:].removeprefix(f" {DATE} "))
+
+
 class Archive:
     """Random access to a ZIP file's members through ``read(offset, length)``."""
 
@@ -180,7 +186,7 @@ class Archive:
         """The WARC records in the index's order, neighbouring ranges read together."""
         at, length = self.place(INDEX)
         base, _ = self.place(DATA)
-        places = [json.loads(line.split(f" {DATE} ", 1)[1]) for line in self.read(at, length).decode().splitlines()]
+        places = [_place(line) for line in self.read(at, length).decode().splitlines()]
         i = 0
         while i < len(places):
             first, j = places[i]["offset"], i + 1
@@ -231,7 +237,8 @@ def read_archives(archives: DataFrame, folder: str, payloads: bool = True) -> Da
                         yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
     parts = max(1, archives.count())
-    return archives.repartition(parts, "name").mapInArrow(run, _RECORD)
+    # ranges of names, which are distinct: one archive a task (hashes would give some tasks several)
+    return archives.repartitionByRange(parts, "name").mapInArrow(run, _RECORD)
 
 
 def warc_query(spark: SparkSession, pages: DataFrame) -> DataFrame:

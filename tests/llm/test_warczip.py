@@ -82,3 +82,24 @@ def test_zip64_directory():
     data = b"padding" + local + entry + wide + locator + end
     at, n = archive_of(data).place("m")
     assert data[at:at + n] == body
+
+
+def test_urls_that_look_like_the_index(spark):
+    urls = [f"http://a/ {warczip.DATE} x", f'"}} {warczip.DATE} {{"offset": 5', "a\u2028b\u0085c", "", "\\\"", None]
+    data = [(i, u, f"<p>{i}") for i, u in enumerate(urls)] + [(100, "http://long/" + "u" * 100000, "x" * 3_000_000)]
+    folder = fresh_path(spark, "warc-urls")
+    archives = warczip.write_archives(warczip.with_revisits(spark.createDataFrame(data, PAGE).repartition(2)), folder)
+    got = {r.page_id: (r.url, bytes(r.payload).decode()) for r in warczip.read_archives(archives, folder).collect()}
+    assert got == {i: (u, h) for i, u, h in data}
+
+
+def test_one_archive_a_task(spark):
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+    data = [(i, "u", "y" * 1500 + str(i)) for i in range(60)]
+    folder = fresh_path(spark, "warc-tasks")
+    archives = warczip.write_archives(warczip.with_revisits(spark.createDataFrame(data, PAGE).repartition(3)), folder, archive_bytes=500)
+    tasks = Counter(r.t for r in warczip.read_archives(archives, folder).select(F.spark_partition_id().alias("t")).collect())
+    most = max(r.records for r in archives.collect())
+    assert len(tasks) >= archives.count() - 1 and max(tasks.values()) <= 2 * most and sum(tasks.values()) == 60
