@@ -25,10 +25,11 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobfacts.llm.common import by_value
@@ -258,11 +259,15 @@ def regression(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 5
 
 
 def _sample(docs: DataFrame, labels: DataFrame, size: int) -> DataFrame:
-    """(text, toxic) of ``size`` rows of each label."""
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = (labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").select("doc_id", "toxic").distinct()
-              .withColumn("n", F.row_number().over(order)).where(F.col("n") <= size).select("doc_id", "toxic"))
-    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "toxic")  # 2 * size rows at most
+    """(text, toxic) of ``size`` labelled documents of each label, one row a document.
+
+    The smallest hashes of a label are a top-k: every task keeps its own ``size``.  A doc_id that
+    repeats counts once, with its smallest text, however many rows it has."""
+    known = labels.where("doc_id IS NOT NULL").select("doc_id", "toxic").distinct()
+    picked = reduce(DataFrame.unionByName, [known.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)
+                                            for label in (0, 1)])
+    rows = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # 2 * size ids
+    return rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("text", "toxic")  # 2 * size rows at most
 
 
 def lexicon(sample: DataFrame, size: int = LEXICON) -> list[Term]:

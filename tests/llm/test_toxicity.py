@@ -73,3 +73,20 @@ def test_hits_report_spans(spark):
     model = toxicity.Model(toxicity.Automaton([toxicity.Term("rotten", False, 2.0)]))
     got = toxicity.hits(docs(spark, [(1, "so rotten"), (2, None), (3, "fine")]), model).collect()
     assert [(r.doc_id, r.start, r.end, r.term) for r in got] == [(1, 3, 9, "rotten")]
+
+
+def test_sample_takes_a_document_once(spark):
+    """One document that repeats far beyond the sample size neither fills nor crowds it."""
+    rows = [(i, f"text {i}") for i in range(60)] + [(7, f"copy {k}") for k in range(3000)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(60)] + [(7, 1, 1)] * 500, "doc_id long, quality int, toxic int")
+    got = toxicity._sample(docs(spark, rows), labels, 20).collect()
+    assert sorted(r.toxic for r in got) == [0] * 20 + [1] * 20 and len({r.text for r in got}) == 40
+    assert len(toxicity._sample(docs(spark, rows), labels, 100).collect()) == 60
+    plan = toxicity._sample(docs(spark, rows), labels, 5000)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("TakeOrderedAndProject") == 2 and "Window" not in plan
+
+
+def test_very_long_text(spark):
+    model = toxicity.Model(toxicity.Automaton([toxicity.Term("rotten", False, 2.0)]))
+    text = "some word or other " * 100_000 + "rotten"
+    assert [h["start"] for h in model.spans(text)] == [len(text) - 6]
