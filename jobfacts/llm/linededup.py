@@ -16,6 +16,11 @@ Variants are emitted in two steps that together lose no pair within the bound:
 Groups are reduced to their earliest line by aggregation, so a group of any size costs one
 row a member.  The edit distance to that line is then verified.
 
+What is found about a document's lines goes back to it as one list.  A doc_id of one row makes one
+list, no longer than its text.  Rows that share a doc_id (or have none) are cut into lines
+instead and joined line by line; their lists are made per (doc_id, hash of text).  So no
+list is longer than a text, whatever share of the rows one doc_id holds.
+
 Defined results: NULL text counts as empty; empty and blank lines stay; rows that repeat a
 (doc_id, line number) are not earlier than one another, so repeated rows keep or lose the
 same lines; NULL doc_id sorts first; an empty table gives an empty result.  Other columns
@@ -27,12 +32,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobfacts.llm.common import bounded, cut, salted_join
+from jobfacts.llm.common import cut, salted_join
 
 PIECE = 256
 MIN_FUZZY = 20
-#: documents whose lists of line numbers may be broadcast
-MAX_DOCS = 400_000
+#: entries, of about 40 bytes, that lists of line numbers may hold together to be broadcast
+MAX_ENTRIES = 1_500_000
 _TRIM = " \t\x0b\x0c\r"
 
 
@@ -84,28 +89,58 @@ def _keys(lines: DataFrame, min_fuzzy: int) -> DataFrame:
         without("a", "a", F.col("n"), False), without("b", "c", F.col("n") - 1, True))))
 
 
-def _pieces(docs: DataFrame, shared: DataFrame, text: str, doc_id: str) -> DataFrame:
+def _list_join(texts: DataFrame, lists: DataFrame, entries: str, on, how: str = "inner") -> DataFrame:
+    """A join with a written table of lists, which is broadcast if all of them are counted to be short."""
+    total = lists.agg(F.sum(F.size(entries) + 1).alias("n")).first()["n"] or 0
+    return texts.join(F.broadcast(lists) if total <= MAX_ENTRIES else lists, on, how)
+
+
+def _shared_ids(docs: DataFrame, doc_id: str) -> DataFrame | None:
+    """doc_ids (NULL is one) of several rows; None if there are none."""
+    ids = cut(docs.groupBy(F.col(f"`{doc_id}`").alias("id")).agg(F.count("*").alias("n")).where("n > 1").select("id"), "shared-ids")
+    return ids if ids.limit(1).count() else None
+
+
+def _without(rows: DataFrame, ids: DataFrame | None) -> DataFrame:
+    return rows if ids is None else rows.join(ids, F.col("doc_id").eqNullSafe(F.col("id")), "left_anti")
+
+
+def _lines_of_shared(docs: DataFrame, ids: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """Lines of the rows whose doc_id others share, each text of a doc_id once: id, th, at, line, h."""
+    rows = docs.select(F.col(f"`{doc_id}`").alias("own"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"))
+    rows = rows.join(ids, F.col("own").eqNullSafe(F.col("id")), "left_semi").select(F.col("own").alias("id"), F.xxhash64("t").alias("th"), "t").distinct()
+    lines = rows.select("id", "th", F.posexplode(F.split("t", "\n")).alias("at", "raw")).select("id", "th", "at", _trim(F.col("raw")).alias("line"))
+    return lines.where("line <> ''").withColumn("h", F.xxhash64("line"))
+
+
+def _pieces(docs: DataFrame, shared: DataFrame, ids: DataFrame | None, text: str, doc_id: str) -> DataFrame:
     """Rows (k, longer, h1, pos, piece) of the lines in ``shared``, with the piece's text."""
-    per_doc = cut(shared.groupBy("doc_id").agg(F.collect_list(F.struct("k", "j", "longer", "h1", "line_no")).alias("wanted")), "wanted")
+    same_id = F.col("doc_id").eqNullSafe(F.col("id"))
+    per_doc = cut(_without(shared, ids).groupBy("doc_id")
+                  .agg(F.collect_list(F.struct("k", "j", "longer", "h1", "line_no")).alias("wanted")), "wanted")
     texts = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("t"))
-    found = (texts.join(bounded(per_doc, MAX_DOCS), F.col("doc_id").eqNullSafe(F.col("id")))
+    found = (_list_join(texts, per_doc, "wanted", same_id)
              .select("doc_id", "wanted", F.split("t", "\n").alias("raw"))
              .select("doc_id", F.inline(F.transform("wanted", lambda x: F.struct(
                  x["k"].alias("k"), x["j"].alias("j"), x["longer"].alias("longer"), x["h1"].alias("h1"),
                  x["line_no"].alias("line_no"), _trim(F.get("raw", x["line_no"])).alias("line")))))
              .where(F.xxhash64("line") == F.col("h1")))
+    if ids is not None:
+        lines = _lines_of_shared(docs, ids, text, doc_id).select("id", "at", "line", "h").distinct()
+        found = found.unionByName(shared.join(lines, same_id & (F.col("line_no") == F.col("at")) & (F.col("h1") == F.col("h")))
+                                  .select("doc_id", "k", "j", "longer", "h1", "line_no", "line"))
     size = _piece_size(F.length("line") - F.col("longer").cast("int"))
     return found.select("k", "longer", "h1", F.struct("doc_id", "line_no").alias("pos"), F.substring(
         F.col("line"), F.col("j") * size + 1, size + F.col("longer").cast("int")).alias("piece")).distinct()
 
 
-def _close_lines(docs: DataFrame, lines: DataFrame, text: str, doc_id: str, min_fuzzy: int) -> DataFrame:
+def _close_lines(docs: DataFrame, lines: DataFrame, ids: DataFrame | None, text: str, doc_id: str, min_fuzzy: int) -> DataFrame:
     """Lines one edit away from an earlier, different line."""
     keys = cut(_keys(lines, min_fuzzy), "line-keys")
     several = cut(keys.groupBy("k").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo < hi").select("k"), "shared-keys")
     shared = (salted_join(keys, several, ["k"]).groupBy("k", "j", "longer", "h1")
               .agg(F.min(F.struct("doc_id", "line_no")).alias("pos")).select("k", "j", "longer", "h1", "pos.*"))
-    pieces = cut(_pieces(docs, shared, text, doc_id), "line-pieces")
+    pieces = cut(_pieces(docs, shared if ids is None else cut(shared, "shared-lines"), ids, text, doc_id), "line-pieces")
 
     def drop_one(kind: str, at) -> Column:
         return F.transform(F.sequence(F.lit(0), F.greatest(F.length("piece") - 1, F.lit(0))), lambda p: F.struct(
@@ -134,12 +169,16 @@ def _close_lines(docs: DataFrame, lines: DataFrame, text: str, doc_id: str, min_
 def repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", max_edits: int = 1,
                    min_fuzzy: int = MIN_FUZZY) -> DataFrame:
     """The lines to drop: doc_id, line_no (from 0), h1, edits, first_doc_id, first_line_no."""
+    return _repeated_lines(docs, _shared_ids(docs, doc_id) if max_edits else None, text, doc_id, max_edits, min_fuzzy)
+
+
+def _repeated_lines(docs: DataFrame, ids: DataFrame | None, text: str, doc_id: str, max_edits: int, min_fuzzy: int) -> DataFrame:
     if max_edits not in (0, 1):
         raise ValueError("the edit bound is 0 or 1")
     lines = _lines(docs, text, doc_id)
     found = _equal_lines(lines)
     if max_edits:
-        found = found.union(_close_lines(docs, lines, text, doc_id, min_fuzzy))
+        found = found.union(_close_lines(docs, lines, ids, text, doc_id, min_fuzzy))
     best = found.groupBy("pos", "h1").agg(F.min(F.struct("edits", "first")).alias("best"))
     return best.select("pos.*", "h1", "best.edits", F.col("best.first.doc_id").alias("first_doc_id"),
                        F.col("best.first.line_no").alias("first_line_no"))
@@ -149,14 +188,27 @@ def drop_repeated_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_
                         min_fuzzy: int = MIN_FUZZY) -> DataFrame:
     """``doc`` (struct of the input columns), ``clean`` (text without repeated lines),
     ``n_lines`` (non-blank), ``n_equal`` and ``n_close`` (dropped lines)."""
-    drops = bounded(cut(repeated_lines(docs, text, doc_id, max_edits, min_fuzzy).groupBy("doc_id")
-                        .agg(F.collect_list(F.struct("line_no", "h1", "edits")).alias("drops")), "drops"), MAX_DOCS)
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
-                        F.col(f"`{doc_id}`").alias("id"), F.split(F.coalesce(F.col(f"`{text}`"), F.lit("")), "\n").alias("raw"))
-    # rows that share a doc_id share its list, so each entry is held against the line it names
-    joined = whole.join(drops, F.col("id").eqNullSafe(F.col("doc_id")), "left").select(
-        "doc", "raw", F.coalesce(F.filter("drops", lambda d: F.xxhash64(_trim(F.get("raw", d["line_no"]))) == d["h1"]),
-                                 F.array().cast("array<struct<line_no:int,h1:bigint,edits:int>>")).alias("drops"))
+    ids = _shared_ids(docs, doc_id)
+    found = cut(_repeated_lines(docs, ids, text, doc_id, max_edits, min_fuzzy).select("doc_id", "line_no", "h1", "edits"), "repeated-lines")
+    same_id = F.col("doc_id").eqNullSafe(F.col("id"))
+    one = F.struct("line_no", "edits")
+    drops = cut(_without(found, ids).groupBy("doc_id").agg(F.collect_list(one).alias("drops")), "drops")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(f"`{doc_id}`").alias("id"),
+                        F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"))
+    joined = _list_join(whole, drops, "drops", same_id, "left").drop("doc_id")
+    if ids is not None:
+        # line by line: a line that many texts of one doc_id hold at one place is spread over them
+        lines = cut(_lines_of_shared(docs, ids, text, doc_id).select("id", "th", "at", "h"), "lines-of-shared-ids")
+        place = [F.xxhash64(F.col(c).isNull(), F.coalesce(F.col(c), F.lit(0).cast(docs.schema[doc_id].dataType)), F.col(n), F.col(h)).alias("place")
+                 for c, n, h in (("id", "at", "h"), ("doc_id", "line_no", "h1"))]
+        gone = cut(found.join(ids, same_id, "left_semi").select("doc_id", "line_no", "h1", "edits", place[1]), "drops-of-shared-ids")
+        matched = salted_join(lines.withColumn("place", place[0]), gone, ["place"]).where(
+            same_id & (F.col("at") == F.col("line_no")) & (F.col("h") == F.col("h1")))
+        per_text = cut(matched.groupBy("id", "th").agg(F.collect_list(one).alias("shared_drops")).withColumnsRenamed({"id": "_id", "th": "_th"}), "drops-by-text")
+        joined = _list_join(joined, per_text, "shared_drops", F.col("id").eqNullSafe(F.col("_id")) & (F.xxhash64("t") == F.col("_th")), "left")
+        joined = joined.withColumn("drops", F.coalesce("drops", "shared_drops"))
+    joined = joined.select("doc", F.split("t", "\n").alias("raw"),
+                           F.coalesce("drops", F.array().cast("array<struct<line_no:int,edits:int>>")).alias("drops"))
     kept = joined.select("doc", "raw", "drops", F.array_except(
         F.sequence(F.lit(0), F.size("raw") - 1), F.transform("drops", lambda d: d["line_no"])).alias("kept"))
     return kept.select(

@@ -67,7 +67,7 @@ def test_against_brute_force(spark):
 
 def test_shuffled_joins_give_the_same(spark, monkeypatch):
     data = sample(6)
-    monkeypatch.setattr(linededup, "MAX_DOCS", -1)
+    monkeypatch.setattr(linededup, "MAX_ENTRIES", -1)
     monkeypatch.setattr(linededup, "salted_join", lambda l, r, k: __import__("jobfacts.llm.common", fromlist=["x"]).salted_join(l, r, k, salts=3, limit=-1))
     got = {r.doc_id: (r.text, r.n_lines, r.n_equal, r.n_close) for r in linededup.line_dedup_query(docs(spark, data)).collect()}
     assert got == brute(data)
@@ -93,3 +93,37 @@ def test_empty_table_and_bound(spark):
     assert linededup.line_dedup_query(docs(spark, [])).collect() == []
     exact = linededup.repeated_lines(docs(spark, [(1, "abcdefghijklmnopqrstuvwxyz"), (2, "abcdefghijklmnopqrstuvwxy")]), max_edits=0)
     assert exact.collect() == []
+
+
+def test_a_doc_id_of_a_third_of_the_rows(spark):
+    """Rows that share a doc_id, or have none: each keeps and loses the lines it would with an
+    own id, as far as order goes; lines at one place of one doc_id are not earlier than one another."""
+    rng = random.Random(9)
+    lines = ["".join(rng.choice("abcdefgh ") for _ in range(30)) for _ in range(30)]
+
+    def text():
+        return "\n".join(edited(rng, x) if rng.random() < 0.4 else x for x in rng.sample(lines, rng.randrange(1, 5)))
+
+    data = [(i, text()) for i in range(40)] + [(12, text()) for _ in range(30)] + [(None, text()) for _ in range(30)]
+    data += data[50:60]  # and some of them twice
+    order = lambda i, k: (i is not None, i if i is not None else 0, k)
+    first = {}
+    for i, t in data:
+        for k, x in enumerate(t.split("\n")):
+            x = x.strip()
+            if x:
+                first[x] = min(first.get(x, order(i, k)), order(i, k))
+    long = [x for x in first if len(x) >= linededup.MIN_FUZZY]
+    close = {a for a in long if any(first[b] < first[a] and within_one(a, b) for b in long)}
+    want = sorted((repr(i), "\n".join(x for k, x in enumerate(t.split("\n")) if not x.strip()
+                                      or not (first[x.strip()] < order(i, k) or x.strip() in close))) for i, t in data)
+    out = linededup.line_dedup_query(docs(spark, data).repartition(5)).collect()
+    assert sorted((repr(r.doc_id), r.text) for r in out) == want
+    assert sum(r.n_close for r in out if r.doc_id in (12, None)) > 5
+
+
+def test_lists_are_no_longer_than_a_text(spark):
+    a = "a line that stands in every text of the one big group"
+    data = [(None, f"{a}\nown line of text number {i}, all by itself {i * i}") for i in range(300)] + [(1, a)]
+    got = linededup.line_dedup_query(docs(spark, data)).collect()
+    assert {r.text for r in got if r.doc_id == 1} == {""} and len(got) == 301
