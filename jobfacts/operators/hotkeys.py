@@ -1,11 +1,12 @@
 """Frequent join keys: found by a sketch, split over tasks by a salt.
 
-In a shuffled join all rows of one key meet in one task.  ``profile`` finds the keys that hold
-more than ``HOT_SHARE`` of the rows of a relation, before the join is planned: one job over the key columns
+In a shuffled join all rows of one key meet in one task.  ``profile`` finds, before the join is planned,
+the keys that hold several tasks' share of the rows of a relation: one job over the key columns
 alone, in which every task sketches the frequent key hashes of its rows, so a table of any
-size sends a row per task and relation to the merge, and at most ``1 / HOT_SHARE`` hashes per
+size sends a row per task and relation to the merge, and at most ``1 / hot_share`` hashes per
 relation reach the driver.  A join given such a ``Split`` spreads the rows of these keys over
-``salts`` tasks and repeats the other side's rows of these keys, and of no others, once a salt.
+as many tasks as their share asks for, and repeats the other side's rows of these keys, and of no
+others, once for each: together no more copies than twice the shuffle partitions.
 
 A sketch may name a key that is not quite frequent, or miss one just above the bound; the
 join's rows are the same in either case, as both sides salt by the same rule.  Without frequent keys
@@ -21,52 +22,74 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: a key with more than this share of its relation's rows is split
+#: a key with more than this share of its relation's rows is split, whatever the number of tasks
 HOT_SHARE = 0.02
-#: keys that a sketch follows; its error is a few times 1 / TRACKED of the rows
-TRACKED = 4096
-#: a frequent key goes to at most this many tasks
-MAX_SALTS = 256
+#: with many tasks, one with TASKS_SHARE tasks' part of the rows, down to MIN_SHARE
+TASKS_SHARE, MIN_SHARE = 4, 0.0001
 
 
 class Split(NamedTuple):
-    """Hashes of the keys to split, and into how many parts."""
+    """Hashes of the keys to split; into how many parts, all of them or ``each``."""
 
     hashes: tuple[int, ...] = ()
     salts: int = 1
+    each: tuple[int, ...] = ()
+
+    def parts(self, h: Column) -> Column:
+        """Number of parts of the key with hash ``h``; 1 unless it is split."""
+        by_size: dict[int, list[int]] = {}
+        for value, n in zip(self.hashes, self.each or (self.salts,) * len(self.hashes)):
+            by_size.setdefault(n, []).append(value)
+        out = F.lit(1)
+        for n, values in sorted(by_size.items()):
+            out = F.when(h.isin(*values), F.lit(n)).otherwise(out)
+        return out
 
 
 NO_SPLIT = Split()
 
 
+def partitions_of(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def hot_share(spark: SparkSession) -> float:
+    """The share of rows from which on a key is split: small enough that an unsplit key is a few tasks' work."""
+    return min(HOT_SHARE, max(MIN_SHARE, TASKS_SHARE / partitions_of(spark)))
+
+
 def key_hash(*keys: Column) -> Column:
     """NULL if a part of the key is: such rows never join."""
     some_null = reduce(Column.__or__, [k.isNull() for k in keys])
     return F.when(~some_null, F.xxhash64(*keys))
 
 
-def salts_for(spark: SparkSession) -> int:
-    return max(2, min(MAX_SALTS, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+def salts_for(share: float, partitions: int) -> int:
+    """Twice the tasks that a share of the rows should fill, as a power of two."""
+    return 1 << max(1, (max(2, round(2 * share * partitions)) - 1).bit_length())
 
 
-def sketch(relations: Sequence[tuple[DataFrame, Mapping[str, Sequence[str]]]], share: float = HOT_SHARE) -> dict[str, Split]:
+def sketch(relations: Sequence[tuple[DataFrame, Mapping[str, Sequence[str]]]], share: float | None = None) -> dict[str, Split]:
     """``name -> Split`` for (relation, {name: key columns}): all relations in one job, each
     scanned once for its key columns."""
     spark = relations[0][0].sparkSession
     names = [n for _, keys in relations for n in keys]
-    top = min(TRACKED // 4, round(2 / share))
+    share = share or hot_share(spark)
+    top = round(2 / share)
+    tracked = 1 << (4 * top).bit_length()  # the sketch errs by a few times 1 / tracked of the rows
 
     def sketched(df: DataFrame, keys: Mapping[str, Sequence[str]]) -> DataFrame:
         hashed = df.select(*[key_hash(*[F.col(c) for c in columns]).alias(n) for n, columns in keys.items()])
-        one = hashed.agg(F.count(F.lit(1)).alias("n"), *[F.expr(f"approx_top_k({n}, {top}, {TRACKED})").alias(n) for n in keys])
+        one = hashed.agg(F.count(F.lit(1)).alias("n"), *[F.expr(f"approx_top_k({n}, {top}, {tracked})").alias(n) for n in keys])
         return one.select(F.inline(F.array(*[F.struct(F.lit(n).alias("name"), F.col("n"), F.col(n).alias("top")) for n in keys])))
 
     found = reduce(DataFrame.unionByName, [sketched(df, keys) for df, keys in relations])
-    salts = salts_for(spark)
     out = dict.fromkeys(names, NO_SPLIT)
     for row in found.collect():  # one row a name
-        hashes = tuple(sorted(t["item"] for t in row["top"] if t["item"] is not None and t["count"] > share * row["n"]))
-        out[row["name"]] = Split(hashes, salts) if hashes else NO_SPLIT
+        hot = sorted((t["item"], t["count"] / row["n"]) for t in row["top"] if t["item"] is not None and t["count"] > share * row["n"])
+        if hot:
+            each = tuple(salts_for(part, partitions_of(spark)) for _, part in hot)
+            out[row["name"]] = Split(tuple(h for h, _ in hot), max(each), each)
     return out
 
 
@@ -82,7 +105,7 @@ FACT_KEYS = (
 WORKER_PAIR = "job_worker"
 
 
-def profile(roles, wanted: Sequence[str] | None = None, share: float = HOT_SHARE) -> dict[str, Split]:
+def profile(roles, wanted: Sequence[str] | None = None, share: float | None = None) -> dict[str, Split]:
     """The splits of the fact's joins (those ``wanted``, by default all)."""
     relations = []
     for role, keys in FACT_KEYS:
@@ -102,13 +125,17 @@ def _is_hot(keys: Sequence[Column], hashes: Sequence[int]) -> Column:
 
 def spread(keys: Sequence[Column], split: Split, by: Sequence[Column]) -> Column:
     """The salt of a row of the side with many rows a key: by a hash of ``by``."""
-    return F.when(_is_hot(keys, split.hashes), F.pmod(F.xxhash64(*by), F.lit(split.salts)).cast("int")).otherwise(0)
+    h = key_hash(*keys)
+    return F.when(_is_hot(keys, split.hashes), F.pmod(F.xxhash64(*by), split.parts(h)).cast("int")).otherwise(0)
+
+
+def _all_salts(keys: Sequence[Column], split: Split) -> Column:
+    return F.sequence(F.lit(0), split.parts(key_hash(*keys)) - 1)
 
 
 def copied(keys: Sequence[Column], split: Split) -> Column:
     """The salts of a row of the side with few rows a key: all of them for a frequent key."""
-    every = F.sequence(F.lit(0), F.lit(split.salts - 1))
-    return F.explode(F.when(_is_hot(keys, split.hashes), every).otherwise(F.array(F.lit(0))))
+    return F.explode(F.when(_is_hot(keys, split.hashes), _all_salts(keys, split)).otherwise(F.array(F.lit(0))))
 
 
 _SALT = "_hot_salt"
@@ -120,17 +147,17 @@ def split_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
     (inner joins only) those frequent in ``right`` alone spread by ``right_by``."""
     if right_split.hashes and how != "inner":
         raise ValueError("rows of the left side can be repeated in inner joins only")
-    only_right = Split(tuple(h for h in right_split.hashes if h not in left_split.hashes), right_split.salts)
+    alone = [i for i, h in enumerate(right_split.hashes) if h not in left_split.hashes]
+    only_right = right_split._replace(hashes=tuple(right_split.hashes[i] for i in alone),
+                                      each=tuple(right_split.each[i] for i in alone) if right_split.each else ())
     if not left_split.hashes and not only_right.hashes:
         return left.join(right, on=list(keys), how=how)
     columns = [F.col(k) for k in keys]
     same = [F.col(k).cast(left.schema[k].dataType) for k in keys]  # a hash depends on the type
     left_salt, right_salt = spread(columns, left_split, [F.col(c) for c in by or keys]), copied(same, left_split)
     if only_right.hashes:
-        many = F.sequence(F.lit(0), F.lit(only_right.salts - 1))
-        left_salt = F.explode(F.when(_is_hot(columns, only_right.hashes), many).otherwise(F.array(left_salt)))
-        all_salts = F.sequence(F.lit(0), F.lit(max(left_split.salts, 1) - 1))
-        right_salt = F.explode(F.when(_is_hot(same, left_split.hashes), all_salts)
+        left_salt = F.explode(F.when(_is_hot(columns, only_right.hashes), _all_salts(columns, only_right)).otherwise(F.array(left_salt)))
+        right_salt = F.explode(F.when(_is_hot(same, left_split.hashes), _all_salts(same, left_split))
                                .otherwise(F.array(spread(same, only_right, [F.col(c) for c in right_by or keys]))))
     joined = left.withColumn(_SALT, left_salt).join(right.withColumn(_SALT, right_salt), on=[*keys, _SALT], how=how)
     return joined.drop(_SALT)

@@ -36,11 +36,27 @@ def test_sketch_finds_the_frequent_keys(spark):
         F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 10 == 0, 8).otherwise(F.col("id")).cast("long").alias("a"),
         F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.col("id")).cast("string").alias("b"))
     got = hotkeys.sketch([(df, {"a": ("a",), "b": ("b",), "ab": ("a", "b")})])
-    assert got["a"].hashes == tuple(sorted(hash_of(spark, v) for v in (7, 8))) and got["a"].salts == 8
+    assert got["a"].hashes == tuple(sorted(hash_of(spark, v) for v in (7, 8)))
+    assert dict(zip(got["a"].hashes, got["a"].each)) == {hash_of(spark, 7): 8, hash_of(spark, 8): 2}  # of 8 tasks: 2.7 and 0.5
     assert got["b"] == NO_SPLIT and got["ab"] == NO_SPLIT  # NULL, however frequent, joins nothing
     assert hotkeys.sketch([(df.limit(0), {"a": ("a",)})])["a"] == NO_SPLIT
 
 
+def test_shares_and_salts_follow_the_number_of_tasks(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "2000")
+    try:
+        assert hotkeys.hot_share(spark) == 0.002
+        df = spark.range(0, 40000, numPartitions=4).select(F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 200 == 1, 8)
+                                                           .otherwise(F.col("id")).cast("long").alias("a"))
+        got = hotkeys.sketch([(df, {"a": ("a",)})])["a"]
+        assert dict(zip(got.hashes, got.each)) == {hash_of(spark, 7): 2048, hash_of(spark, 8): 16}
+        spark.conf.set("spark.sql.shuffle.partitions", "40000")
+        assert hotkeys.hot_share(spark) == 0.0001
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert hotkeys.hot_share(spark) == 0.02
+
+
 def test_profile_of_the_roles(spark):
     plain, skewed = hotkeys.profile(Roles(spark, SF)), hotkeys.profile(SkewedRoles(spark, SF))
     assert set(plain) == set(skewed) == {"job_request", "job_vendor", "job_staff", "job_worker", "request_asset", "request_area",
