@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from jobfacts.operators import hotkeys
+
 #: ASCII white space, as Java and RE2 regular expressions
 WHITE = r"[\x20\x09-\x0D]+"
 NOT_WHITE = r"[^\x20\x09-\x0D]+"
@@ -68,41 +70,44 @@ def bounded(df: DataFrame, limit: int = MAX_BROADCAST) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
-def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", salts: int = 64,
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", salts: int | None = None,
                 limit: int = MAX_BROADCAST) -> DataFrame:
     """Equi-join in which no left key, however frequent, loads one task.
 
     ``right`` is a written table with few rows a key.  Counted to be small, it is broadcast
-    and the left rows stay where they are.  Otherwise the rows of one left key spread over
-    ``salts`` tasks, and ``right`` is repeated once per salt.
+    and the left rows stay where they are.  Otherwise a sketch of ``left`` finds its frequent
+    keys; their rows, and no others, spread over as many tasks as their share asks for (or
+    ``salts``), and ``right``'s rows of these keys are repeated for each.
     """
     if right.count() <= limit:
         return left.join(F.broadcast(right), on=keys, how=how)
-    salt = "_salt"
-    spread = left.withColumn(salt, F.pmod(F.xxhash64(*[F.col(c) for c in left.columns if _hashable(left.schema[c].dataType)]), F.lit(salts)).cast("int"))
-    copies = right.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return spread.join(copies, on=[*keys, salt], how=how).drop(salt)
+    split = hotkeys.sketch([(left, {"k": keys})])["k"]
+    if salts and split.hashes:
+        split = hotkeys.Split(split.hashes, salts)
+    return hotkeys.split_join(left, right, keys, how, split, [c for c in left.columns if _hashable(left.schema[c].dataType)])
 
 
 def _hashable(kind: T.DataType) -> bool:
-    return isinstance(kind, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType))
+    return not isinstance(kind, (T.MapType, T.VariantType))
 
 
 def min_labels(edges: DataFrame, label: str = "links") -> DataFrame:
     """Connected components of an undirected edge table (a, b): rows (id, component).
 
     Alternates a neighbour minimum with pointer jumping; every round is written to the
-    shared folder.  Ends when a round changes no label.  Isolated ids have no row.
+    shared folder.  Ends when a round changes no label.  Isolated ids have no row.  A hub's edges
+    and a large component's members are split like other frequent keys.
     """
     both = cut(edges.select(F.col("a").alias("id"), F.col("b").alias("other"))
                .union(edges.select(F.col("b"), F.col("a"))).distinct(), label)
     labels = cut(both.groupBy("id").agg(F.least(F.col("id"), F.min("other")).alias("component")), label)
     while True:
-        near = (both.join(labels.select(F.col("id").alias("other"), "component"), "other")
-                .groupBy("id").agg(F.min("component").alias("near")))
-        moved = labels.join(near, "id").select("id", "component", F.least("component", "near").alias("to"))
+        # an edge's end or a component's root may be frequent: both joins split such keys
+        others = labels.select(F.col("id").alias("other"), "component")
+        near = salted_join(both, others, ["other"]).groupBy("id").agg(F.min("component").alias("near"))
+        moved = cut(labels.join(near, "id").select("id", "component", F.least("component", "near").alias("to")), label)
         jump = labels.select(F.col("id").alias("to"), F.col("component").alias("root"))
-        after = cut(moved.join(jump, "to", "left")
+        after = cut(salted_join(moved, jump, ["to"], "left")
                     .select("id", F.least(F.col("to"), F.coalesce("root", "to")).alias("component"),
                             (F.least(F.col("to"), F.coalesce("root", "to")) != F.col("component")).alias("changed")), label)
         labels = after.select("id", "component")

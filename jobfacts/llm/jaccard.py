@@ -44,6 +44,8 @@ THRESHOLD = 90  # percent
 POINT_GROUPS = 128
 TILE = 1024
 LEAF = 32
+#: near duplicates without a contract of their own: words of a shingle, percent
+NEAR_SHINGLE, NEAR_THRESHOLD = 5, 80
 #: ids that may be broadcast; more are joined by a shuffle
 MAX_BROADCAST = 4_000_000
 #: shingles in one slice of the matrices that count links
@@ -343,9 +345,9 @@ def components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, size: int = NEAR_SHINGLE, percent: int = NEAR_THRESHOLD) -> DataFrame:
     """One document of each component, the one with the smallest doc_id; input columns only."""
-    dropped = (components(docs, count_links=False).where("NOT doc_id <=> component_id")
+    dropped = (components(docs, size=size, percent=percent, count_links=False).where("NOT doc_id <=> component_id")
                .select(F.col("doc_id").alias("__id"), F.col("vid").alias("__hash")).distinct())
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("__hash"))
     return docs.join(dropped, same, "left_anti")

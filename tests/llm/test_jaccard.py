@@ -7,16 +7,16 @@ from jobfacts.llm import jaccard
 from tests.llm.helpers import clashing, docs, words
 
 
-def shingle_set(text):
+def shingle_set(text, size=3):
     w = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if c.isascii() else c for c in text or ""))
     if not w:
         return frozenset()
-    return frozenset([tuple(w)] if len(w) < 3 else [tuple(w[i:i + 3]) for i in range(len(w) - 2)])
+    return frozenset([tuple(w)] if len(w) < size else [tuple(w[i:i + size]) for i in range(len(w) - size + 1)])
 
 
-def brute(data, percent=90):
+def brute(data, percent=90, size=3):
     """doc_id to (n_shingles, component_id), for distinct doc_ids."""
-    sets = {i: shingle_set(t) for i, t in data}
+    sets = {i: shingle_set(t, size) for i, t in data}
     root = {i: i for i in sets}
 
     def find(x):
@@ -133,3 +133,12 @@ def test_copies_of_one_text_count_the_same_links(spark):
     texts = [" ".join(base)] + [" ".join(base[:k] + ["x"] + base[k + 1:]) for k in (20, 90, 160)]
     data = [(i, texts[i % 4]) for i in range(10)] + [(None, texts[0])]
     assert {r.n_links for r in jaccard.jaccard_query(docs(spark, data)).collect()} == {3}
+
+
+def test_five_words_and_80_percent(spark):
+    data = sample(6)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.components(docs(spark, data), size=5, percent=80, count_links=False).collect()}
+    want = brute(data, 80, 5)
+    assert got == want and want != brute(data)
+    kept = {r.doc_id for r in jaccard.keep_one(docs(spark, data)).collect()}
+    assert kept == {i for i, (_, c) in want.items() if c == i}

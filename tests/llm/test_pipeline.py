@@ -37,7 +37,7 @@ def brute(data, items):
     first = [(i, t) for i, t in data if i in good]
     lines = test_linededup.brute(first)
     second = [(i, lines[i][0]) for i, _ in first if lines[i][1] > lines[i][2] + lines[i][3] or lines[i][2] + lines[i][3] == 0]
-    parts = test_jaccard.brute(second)
+    parts = test_jaccard.brute(second, percent=80, size=5)
     third = [(i, t) for i, t in second if parts[i][1] == i]
     leaks = {d for d, _ in test_decontam.brute(third, items)}
     library = sentencepiece.SentencePieceProcessor(model_file=sentencepieces.default_model())
