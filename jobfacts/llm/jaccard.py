@@ -9,6 +9,10 @@ dimensions; so the groups also say which documents meet in one task.  Documents
 size that link differ in at most D shingles.  With D + 1 groups, one group at least holds
 the same shingles in both: its hash is a key, and linked documents share a key.
 
+Before the sets of a pair are compared, finer points are: the parities of the counts of some
+four groups per shingle, a bit each.  Sets that differ in d shingles differ in d bits at most, so
+pairs of points further apart can't link, and only the sets of the pairs that are left travel.
+
 Copies with equal texts are one vertex.  In each key's block, first the member that shares
 most keys is compared with the others; after that, only members of different components
 are compared, through R-trees of bounded tiles.  No block emits all its pairs, and no link
@@ -92,25 +96,43 @@ def point_of(values: np.ndarray) -> np.ndarray:
     return np.bincount(groups.astype(np.int64), minlength=POINT_GROUPS).astype(np.uint32)
 
 
+def parities_of(values: np.ndarray) -> np.ndarray:
+    """Parity of the number of shingles in each of 4 n to 8 n groups, as bits; half as many groups
+    are the exclusive or of the two halves."""
+    bits = max(64, 1 << (4 * max(len(values), 1) - 1).bit_length())
+    at = (values & _U(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=bits).astype(np.uint8) & 1, bitorder="little")
+
+
+def apart(a: np.ndarray, b: np.ndarray) -> int:
+    """Groups whose parities differ: at most the number of shingles that only one of the sets has."""
+    while len(a) > len(b):
+        a = a[:len(a) // 2] ^ a[len(a) // 2:]
+    while len(b) > len(a):
+        b = b[:len(b) // 2] ^ b[len(b) // 2:]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 def _sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
     for text in texts:
         yield shingles(word_hashes((text.as_py() or b"").lower()), size)  # bytes.lower() changes A-Z alone
 
 
 def _vertices(rows: DataFrame, size: int, percent: int) -> DataFrame:
-    """(vid, text) to (vid, n, keys, point)."""
+    """(vid, text) to (vid, n, keys, point, parities), where n goes before the parities' bits."""
     def run(batches):
         bounds = size_bounds(percent)
         for batch in batches:
-            n, keys, points = [], [], []
+            n, keys, points, bits = [], [], [], []
             for values in _sets(batch.column("text"), size):
                 n.append(len(values))
                 keys.append(keys_of(values, bounds, percent))
                 points.append(point_of(values).tobytes())
-            yield pa.record_batch([batch.column("vid"), pa.array(n, pa.int64()),
-                                   pa.array(keys, pa.list_(pa.int64())), pa.array(points, pa.binary())], ["vid", "n", "keys", "point"])
+                bits.append(len(values).to_bytes(8, "big") + parities_of(values).tobytes())
+            yield pa.record_batch([batch.column("vid"), pa.array(n, pa.int64()), pa.array(keys, pa.list_(pa.int64())),
+                                   pa.array(points, pa.binary()), pa.array(bits, pa.binary())], ["vid", "n", "keys", "point", "parities"])
 
-    return rows.mapInArrow(run, "vid long, n long, keys array<long>, point binary")
+    return rows.mapInArrow(run, "vid long, n long, keys array<long>, point binary, parities binary")
 
 
 def _shingle_sets(rows: DataFrame, size: int) -> DataFrame:
@@ -127,28 +149,46 @@ def _only(rows: DataFrame, ids: DataFrame, on: str, how: str, limit: int) -> Dat
     return rows.join(F.broadcast(ids) if ids.count() <= limit else ids, on, how)
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b, n: shingles of a) that link, as (a, b).
+def _compared(pairs: DataFrame, held: DataFrame, load: int, passes) -> DataFrame:
+    """The pairs (a, b, n: shingles of a) for which ``passes(of a, of b)`` holds, as they are.
 
-    The partners of one b are dealt out to tasks of bounded size."""
-    load = cut(pairs.groupBy("b").agg(F.ceil(F.sum("n") / TASK_SHINGLES).cast("int").alias("parts")), "pair-load")
-    dealt = cut(salted_join(pairs, load, ["b"]).select("a", "b", F.pmod(F.xxhash64("a"), F.col("parts")).alias("part")), "pairs")
-    members = dealt.join(sets.withColumnRenamed("vid", "a"), "a").select("b", "part", "a", "shingles", F.lit(False).alias("centre"))
-    centres = dealt.select("b", "part").distinct().join(sets.withColumnRenamed("vid", "b"), "b").select(
-        "b", "part", F.col("b").alias("a"), "shingles", F.lit(True).alias("centre"))
+    ``held`` is (vid, held): what is compared.  The partners of one b are dealt out to tasks that hold
+    ``load`` shingles each."""
+    parts = cut(pairs.groupBy("b").agg(F.ceil(F.sum("n") / load).cast("int").alias("parts")), "pair-load")
+    dealt = cut(salted_join(pairs, parts, ["b"]).select("a", "b", "n", F.pmod(F.xxhash64("a"), F.col("parts")).alias("part")), "pairs")
+    members = dealt.join(held.withColumnRenamed("vid", "a"), "a").select("b", "part", "a", "n", "held", F.lit(False).alias("centre"))
+    centres = dealt.select("b", "part").distinct().join(held.withColumnRenamed("vid", "b"), "b").select(
+        "b", "part", F.col("b").alias("a"), F.lit(0).cast("long").alias("n"), "held", F.lit(True).alias("centre"))
 
     def verify(group: pd.DataFrame) -> pd.DataFrame:
-        centre = np.frombuffer(group.loc[group["centre"], "shingles"].iloc[0], dtype=_U)
-        found, others = [], group[~group["centre"]]
-        for a, own in zip(others["a"], others["shingles"]):
-            own = np.frombuffer(own, dtype=_U)
-            at = np.minimum(np.searchsorted(centre, own), len(centre) - 1)
-            both = int((centre[at] == own).sum())
-            if 100 * both >= percent * (len(own) + len(centre) - both):
-                found.append(a)
-        return pd.DataFrame({"a": pd.Series(found, dtype="int64"), "b": int(group["b"].iloc[0])}).astype("int64")
+        centre = group.loc[group["centre"], "held"].iloc[0]
+        others = group[~group["centre"]]
+        good = np.array([passes(own, centre) for own in others["held"]], dtype=bool)
+        return pd.DataFrame({"a": others["a"][good], "b": int(group["b"].iloc[0]), "n": others["n"][good]}).astype("int64")
+
+    return members.union(centres).groupBy("b", "part").applyInPandas(verify, "a long, b long, n long")
+
 
-    return members.union(centres).groupBy("b", "part").applyInPandas(verify, "a long, b long")
+def _near(pairs: DataFrame, vertices: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose parities allow a link."""
+    held = vertices.select("vid", F.col("parities").alias("held"))
+
+    def passes(a: bytes, b: bytes) -> bool:
+        sizes = int.from_bytes(a[:8], "big") + int.from_bytes(b[:8], "big")
+        return (100 + percent) * apart(np.frombuffer(a, np.uint8, offset=8), np.frombuffer(b, np.uint8, offset=8)) <= (100 - percent) * sizes
+
+    return _compared(pairs, held, 16 * TASK_SHINGLES, passes)
+
+
+def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, n: shingles of a) that link, as (a, b)."""
+    def passes(a: bytes, b: bytes) -> bool:
+        own, centre = np.frombuffer(a, dtype=_U), np.frombuffer(b, dtype=_U)
+        at = np.minimum(np.searchsorted(centre, own), len(centre) - 1)
+        both = int((centre[at] == own).sum())
+        return 100 * both >= percent * (len(own) + len(centre) - both)
+
+    return _compared(pairs, sets.withColumnRenamed("shingles", "held"), TASK_SHINGLES, passes).select("a", "b")
 
 
 def _differences(members: DataFrame, sets: DataFrame) -> DataFrame:
@@ -307,9 +347,15 @@ def components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size
                 .select("key", F.col("head.vid").alias("b")), "heads")
     first = cut(salted_join(weighed, heads, ["key"]).where("vid != b")
                 .select(F.col("vid").alias("a"), "b", "n").distinct(), "first-pairs")
-    sets = cut(_shingle_sets(_only(firsts, shared.select("vid"), "vid", "left_semi", max_broadcast), size)
-               .dropDuplicates(["vid"]), "sets")
-    links = cut(_linked(first, sets, percent), "links")
+
+    def verified(pairs: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
+        """The links among the pairs, and the sets of the pairs that parities left."""
+        near = cut(_near(pairs, vertices, percent), f"near-{label}")
+        ids = cut(near.select(F.col("a").alias("vid")).union(near.select("b")).distinct(), f"near-ids-{label}")
+        sets = cut(_shingle_sets(_only(firsts, ids, "vid", "left_semi", max_broadcast), size).dropDuplicates(["vid"]), f"sets-{label}")
+        return cut(_linked(near, sets, percent), f"links-{label}"), sets
+
+    links, sets = verified(first, "first")
 
     parts = min_labels(links).withColumnRenamed("id", "vid")
     placed = cut(blocks.join(parts, "vid", "left").select("key", "vid", "n", F.coalesce("component", "vid").alias("component")), "placed")
@@ -321,7 +367,8 @@ def components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size
     members = cut(salted_join(placed, unlike, ["key"]), "open-members").join(vertices.select("vid", "point"), "vid")
     done = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     second = cut(_across(members, percent).join(done, ["a", "b"], "left_anti"), "second-pairs")
-    links = cut(links.union(_linked(second, sets, percent)), "all-links")
+    more, others = verified(second, "second")
+    links = cut(links.union(more), "all-links")
 
     parts = cut(vertices.select("vid", "n").join(min_labels(links).withColumnRenamed("id", "vid"), "vid", "left")
                 .select("vid", "n", F.coalesce("component", "vid").alias("root")), "parts")
@@ -336,7 +383,7 @@ def components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size
                     .select("root", "members", F.col("head.vid").alias("head")), "link-heads")
         inside = cut(salted_join(ends.select("root", "vid", "n"), heads, ["root"]), "link-members")
         counts = inside.where("members = 2").select("vid", F.lit(1).cast("long").alias("n_links")).union(
-            _count_links(inside.where("members > 2").drop("members"), sets, percent, tile))
+            _count_links(inside.where("members > 2").drop("members"), sets.union(others).dropDuplicates(["vid"]), percent, tile))
         found = found.join(counts, "vid", "left")
     found = cut(found, "found")
     n_links = [F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")] if count_links else []

@@ -142,3 +142,17 @@ def test_five_words_and_80_percent(spark):
     assert got == want and want != brute(data)
     kept = {r.doc_id for r in jaccard.keep_one(docs(spark, data)).collect()}
     assert kept == {i for i, (_, c) in want.items() if c == i}
+
+
+def test_parities_bound_the_difference():
+    rng = np.random.default_rng(2)
+    tight = []
+    for _ in range(500):
+        a = np.unique(rng.integers(0, 2 ** 64, int(rng.integers(0, 600)), dtype=np.uint64))
+        b = np.unique(np.concatenate([rng.permutation(a)[int(rng.integers(0, len(a) + 1)):], rng.integers(0, 2 ** 64, int(rng.integers(0, 300)), dtype=np.uint64)]))
+        d = len(np.setxor1d(a, b))
+        bits = jaccard.apart(jaccard.parities_of(a), jaccard.parities_of(b))
+        assert bits <= d
+        if len(a) < 2 * len(b) < 4 * len(a):  # others are told apart by their sizes
+            tight.append(bits >= 0.7 * d)
+    assert len(tight) > 150 and np.mean(tight) > 0.95
