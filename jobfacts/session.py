@@ -42,9 +42,11 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 # Settings for the full-size run (about 100 TB of input on ~1000 executors).  A cluster
 # session is created by the platform; apply these with ``spark.conf.set`` or
-# ``--conf``.  Initial shuffle partitions are sized for ~200 MB per partition of the
-# largest shuffle (the line-item stream); AQE then coalesces small ones to the advisory
-# size and splits skewed ones.
+# ``--conf``.  The largest shuffle is the line items': key, invoice and amount, some 8 % of the
+# bytes of 100 TB (lineitem's 60 of its about 110 uncompressed bytes a row, a sixth of all input),
+# about 8 TB, so 40,000 partitions hold about 200 MB each.  AQE coalesces those of smaller
+# shuffles to the advisory size; keys of more than 4 / 40,000 of the rows are split
+# (``operators.hotkeys``).
 CLUSTER_SETTINGS = {
     "spark.sql.shuffle.partitions": "40000",
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
