@@ -2,6 +2,14 @@
 
 A stage takes (spark, docs, sf_dir), works on all that its predecessor kept and returns the
 columns of ``documents``; the last returns the token ids.
+
+Defined results, for every stage: a NULL or empty text is rejected by the first stage (too few
+words), and passes each later one unchanged if it is given one; rows that repeat a doc_id and a text are
+treated alike by the rules, lose the same lines, and stay or go together as near duplicates and
+as leaks; a NULL doc_id is an id like others, sorted first among lines and never the one that stands for
+a group unless all are NULL; of ties the smallest doc_id stays; very long texts are read whole; an empty
+table passes through as empty; further columns, whatever their names, pass through unchanged
+up to the last stage.
 """
 
 from __future__ import annotations
