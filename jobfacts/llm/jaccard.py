@@ -48,6 +48,8 @@ THRESHOLD = 90  # percent
 POINT_GROUPS = 128
 TILE = 1024
 LEAF = 32
+#: rows of small blocks that one group holds
+GROUP_ROWS = 20_000
 #: near duplicates without a contract of their own: words of a shingle, percent
 NEAR_SHINGLE, NEAR_THRESHOLD = 5, 80
 #: ids that may be broadcast; more are joined by a shuffle
@@ -292,31 +294,70 @@ def tree_join(a: np.ndarray, b: np.ndarray, percent: int) -> tuple[np.ndarray, n
     return np.concatenate(left or [none]), np.concatenate(right or [none])
 
 
+_PAIRS = [np.triu_indices(m, 1) for m in range(LEAF + 1)]
+
+
 def _across(blocks: DataFrame, percent: int) -> DataFrame:
     """Pairs of members of different components in a block that their points allow to link.
 
     ``blocks``: (key, vid, n, component, point, tiles).  A block of many members is cut into
-    tiles, and each pair of tiles is one group."""
-    tiled = blocks.withColumn("tile", F.pmod(F.xxhash64("vid"), F.col("tiles")))
-    pairs = tiled.select("*", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
-    dealt = pairs.select("key", F.least("tile", "other").alias("s"), F.greatest("tile", "other").alias("t"), "tile", "vid", "component", "point", "n")
-
-    def join(group: pd.DataFrame) -> pd.DataFrame:
-        s, t = group["s"].iloc[0], group["t"].iloc[0]
-        sides = [group[group["tile"] == x] for x in (s, t)]
-        none = pd.DataFrame({"a": [], "b": [], "n": []}, dtype="int64")
-        if not len(sides[0]) or not len(sides[1]) or group["component"].nunique() < 2:
-            return none
-        points = [np.stack([np.frombuffer(p, dtype=np.uint32) for p in x["point"]]).astype(np.int64) for x in sides]
-        i, j = tree_join(*points, percent)
-        ids, parts = [x["vid"].to_numpy() for x in sides], [x["component"].to_numpy() for x in sides]
-        keep = (parts[0][i] != parts[1][j]) & ((ids[0][i] < ids[1][j]) | (s != t))
-        a, b, n = ids[0][i][keep], ids[1][j][keep], sides[0]["n"].to_numpy()[i][keep]
+    tiles, and each pair of tiles is one group; blocks of one tile share groups of some
+    ``GROUP_ROWS`` rows, so that a group costs little beside its rows."""
+    few = blocks.where("tiles = 1")
+    groups = max(1, -(-few.count() // GROUP_ROWS))
+
+    def pairs_of(points: np.ndarray, ids: np.ndarray, parts: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray, ordered: bool) -> pd.DataFrame:
+        keep = parts[i] != parts[j]
+        if ordered:  # both sides are one tile, which gives each pair twice
+            keep &= ids[i] < ids[j]
+        a, b, size = ids[i][keep], ids[j][keep], n[i][keep]
         swap = a > b
-        return pd.DataFrame({"a": np.where(swap, b, a), "b": np.where(swap, a, b),
-                             "n": np.where(swap, sides[1]["n"].to_numpy()[j][keep], n)})
-
-    return dealt.groupBy("key", "s", "t").applyInPandas(join, "a long, b long, n long").distinct()
+        return pd.DataFrame({"a": np.where(swap, b, a), "b": np.where(swap, a, b), "n": np.where(swap, n[j][keep], size)}).astype("int64")
+
+    def columns(group: pd.DataFrame) -> tuple[np.ndarray, ...]:
+        points = np.frombuffer(b"".join(group["point"]), dtype=np.uint32).reshape(len(group), POINT_GROUPS).astype(np.int64)
+        return points, group["vid"].to_numpy(), group["component"].to_numpy(), group["n"].to_numpy()
+
+    def join_blocks(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("key", kind="stable")
+        held = columns(group)
+        points, sizes = held[0], held[0].sum(axis=1)
+        keys = group["key"].to_numpy()
+        starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        left, right = [], []
+        for first, m in zip(starts, np.diff(np.append(starts, len(keys)))):
+            if m <= LEAF:  # a leaf: all its pairs are bounded together with those of other blocks
+                i, j = _PAIRS[m]
+            else:
+                i, j = tree_join(points[first:first + m], points[first:first + m], percent)
+                i, j = i[i < j], j[i < j]
+            left.append(first + i)
+            right.append(first + j)
+        i, j = np.concatenate(left), np.concatenate(right)
+        differ = held[2][i] != held[2][j]
+        i, j = i[differ], j[differ]
+        good = [np.zeros(0, dtype=bool)]
+        for at in range(0, len(i), 4096):
+            p, q = i[at:at + 4096], j[at:at + 4096]
+            good.append((100 + percent) * np.minimum(points[p], points[q]).sum(axis=1) >= percent * (sizes[p] + sizes[q]))
+        good = np.concatenate(good)
+        return pairs_of(*held, i[good], j[good], False)
+
+    def join_tiles(group: pd.DataFrame) -> pd.DataFrame:
+        s, t = group["s"].iloc[0], group["t"].iloc[0]
+        own, other = np.flatnonzero(group["tile"] == s), np.flatnonzero(group["tile"] == t)
+        held = columns(group)
+        if not len(own) or not len(other) or group["component"].nunique() < 2:
+            return pairs_of(*held, own[:0], other[:0], False)
+        i, j = tree_join(held[0][own], held[0][other], percent)
+        return pairs_of(*held, own[i], other[j], bool(s == t))
+
+    dealt = few.select(F.pmod(F.xxhash64("key"), F.lit(groups)).alias("bucket"), "key", "vid", "component", "point", "n")
+    found = dealt.groupBy("bucket").applyInPandas(join_blocks, "a long, b long, n long")
+    tiled = blocks.where("tiles > 1").withColumn("tile", F.pmod(F.xxhash64("vid"), F.col("tiles")))
+    pairs = tiled.select("*", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("other"))
+    many = pairs.select("key", F.least("tile", "other").alias("s"), F.greatest("tile", "other").alias("t"), "tile", "vid", "component", "point", "n")
+    return found.union(many.groupBy("key", "s", "t").applyInPandas(join_tiles, "a long, b long, n long")).distinct()
 
 
 def components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SHINGLE, percent: int = THRESHOLD,
