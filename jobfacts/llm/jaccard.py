@@ -12,6 +12,8 @@ the same shingles in both: its hash is a key, and linked documents share a key.
 Before the sets of a pair are compared, finer points are: the parities of the counts of some
 four groups per shingle, a bit each.  Sets that differ in d shingles differ in d bits at most, so
 pairs of points further apart can't link, and only the sets of the pairs that are left travel.
+Unrelated sets are apart in a quarter of these bits already, so those are compared first, and
+the whole parities travel for the pairs that they leave.
 
 Copies with equal texts are one vertex.  In each key's block, first the member that shares
 most keys is compared with the others; after that, only members of different components
@@ -30,7 +32,7 @@ component's smallest id unless all are NULL; an empty table gives an empty resul
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -98,6 +100,29 @@ def point_of(values: np.ndarray) -> np.ndarray:
     return np.bincount(groups.astype(np.int64), minlength=POINT_GROUPS).astype(np.uint32)
 
 
+def packed(point: np.ndarray) -> bytes:
+    """The counts of a point in as many bits each as the largest needs: 4, 8, 16 or 32."""
+    most = int(point.max(initial=0))
+    if most < 16:
+        return (point[0::2] | point[1::2] << 4).astype(np.uint8).tobytes()
+    return point.astype(next(f"<u{k}" for k in (1, 2, 4) if most < 1 << 8 * k)).tobytes()
+
+
+def unpacked(points: Sequence[bytes]) -> np.ndarray:
+    """Packed points as the rows of a matrix."""
+    out = np.zeros((len(points), POINT_GROUPS), dtype=np.int64)
+    lengths = np.array([len(x) for x in points])
+    for length in np.unique(lengths):
+        at = np.flatnonzero(lengths == length)
+        joined = b"".join(points[i] for i in at)
+        if 2 * length == POINT_GROUPS:
+            pairs = np.frombuffer(joined, np.uint8).reshape(len(at), length)
+            out[at, 0::2], out[at, 1::2] = pairs & 15, pairs >> 4
+        else:
+            out[at] = np.frombuffer(joined, f"<u{length // POINT_GROUPS}").reshape(len(at), POINT_GROUPS)
+    return out
+
+
 def parities_of(values: np.ndarray) -> np.ndarray:
     """Parity of the number of shingles in each of 4 n to 8 n groups, as bits; half as many groups
     are the exclusive or of the two halves."""
@@ -106,12 +131,17 @@ def parities_of(values: np.ndarray) -> np.ndarray:
     return np.packbits(np.bincount(at, minlength=bits).astype(np.uint8) & 1, bitorder="little")
 
 
+def folded(bits: np.ndarray) -> np.ndarray:
+    """The parities of half as many groups."""
+    return bits[:len(bits) // 2] ^ bits[len(bits) // 2:]
+
+
 def apart(a: np.ndarray, b: np.ndarray) -> int:
     """Groups whose parities differ: at most the number of shingles that only one of the sets has."""
     while len(a) > len(b):
-        a = a[:len(a) // 2] ^ a[len(a) // 2:]
+        a = folded(a)
     while len(b) > len(a):
-        b = b[:len(b) // 2] ^ b[len(b) // 2:]
+        b = folded(b)
     return int(np.bitwise_count(a ^ b).sum())
 
 
@@ -121,20 +151,24 @@ def _sets(texts: pa.Array, size: int) -> Iterator[np.ndarray]:
 
 
 def _vertices(rows: DataFrame, size: int, percent: int) -> DataFrame:
-    """(vid, text) to (vid, n, keys, point, parities), where n goes before the parities' bits."""
+    """(vid, text) to (vid, n, keys, point, parities, coarse), where n goes before the bits of the
+    parities and of a quarter of them."""
     def run(batches):
         bounds = size_bounds(percent)
         for batch in batches:
-            n, keys, points, bits = [], [], [], []
+            n, keys, points, bits, coarse = [], [], [], [], []
             for values in _sets(batch.column("text"), size):
                 n.append(len(values))
                 keys.append(keys_of(values, bounds, percent))
-                points.append(point_of(values).tobytes())
-                bits.append(len(values).to_bytes(8, "big") + parities_of(values).tobytes())
+                points.append(packed(point_of(values)))
+                size_of, parities = len(values).to_bytes(8, "big"), parities_of(values)
+                bits.append(size_of + parities.tobytes())
+                coarse.append(size_of + folded(folded(parities)).tobytes())
             yield pa.record_batch([batch.column("vid"), pa.array(n, pa.int64()), pa.array(keys, pa.list_(pa.int64())),
-                                   pa.array(points, pa.binary()), pa.array(bits, pa.binary())], ["vid", "n", "keys", "point", "parities"])
+                                   pa.array(points, pa.binary()), pa.array(bits, pa.binary()), pa.array(coarse, pa.binary())],
+                                  ["vid", "n", "keys", "point", "parities", "coarse"])
 
-    return rows.mapInArrow(run, "vid long, n long, keys array<long>, point binary, parities binary")
+    return rows.mapInArrow(run, "vid long, n long, keys array<long>, point binary, parities binary, coarse binary")
 
 
 def _shingle_sets(rows: DataFrame, size: int) -> DataFrame:
@@ -173,13 +207,13 @@ def _compared(pairs: DataFrame, held: DataFrame, load: int, passes) -> DataFrame
 
 def _near(pairs: DataFrame, vertices: DataFrame, percent: int) -> DataFrame:
     """The pairs whose parities allow a link."""
-    held = vertices.select("vid", F.col("parities").alias("held"))
-
     def passes(a: bytes, b: bytes) -> bool:
         sizes = int.from_bytes(a[:8], "big") + int.from_bytes(b[:8], "big")
         return (100 + percent) * apart(np.frombuffer(a, np.uint8, offset=8), np.frombuffer(b, np.uint8, offset=8)) <= (100 - percent) * sizes
 
-    return _compared(pairs, held, 16 * TASK_SHINGLES, passes)
+    for bits, load in (("coarse", 64), ("parities", 16)):
+        pairs = cut(_compared(pairs, vertices.select("vid", F.col(bits).alias("held")), load * TASK_SHINGLES, passes), bits)
+    return pairs
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -315,8 +349,7 @@ def _across(blocks: DataFrame, percent: int) -> DataFrame:
         return pd.DataFrame({"a": np.where(swap, b, a), "b": np.where(swap, a, b), "n": np.where(swap, n[j][keep], size)}).astype("int64")
 
     def columns(group: pd.DataFrame) -> tuple[np.ndarray, ...]:
-        points = np.frombuffer(b"".join(group["point"]), dtype=np.uint32).reshape(len(group), POINT_GROUPS).astype(np.int64)
-        return points, group["vid"].to_numpy(), group["component"].to_numpy(), group["n"].to_numpy()
+        return unpacked(group["point"].to_numpy()), group["vid"].to_numpy(), group["component"].to_numpy(), group["n"].to_numpy()
 
     def join_blocks(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("key", kind="stable")
@@ -375,8 +408,14 @@ def components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size
     firsts = rows.join(F.broadcast(gone) if small else gone,
                        F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("vid") == F.col("_vid")), "left_anti")
     firsts = firsts.select("vid", F.col("text").cast("binary").alias("text"))
+    # only rows that repeat a doc_id and a text are left more than once: of texts that stand alone, none travels
+    repeated = cut(classes.groupBy("vid").agg(F.sum("copies").alias("copies")).where("copies > 1").select("vid"), "repeated")
+
+    def once(rows: DataFrame) -> DataFrame:
+        return _only(rows, repeated, "vid", "left_anti", max_broadcast).union(
+            _only(rows, repeated, "vid", "left_semi", max_broadcast).dropDuplicates(["vid"]))
 
-    vertices = cut(_vertices(firsts, size, percent).dropDuplicates(["vid"]), "vertices")
+    vertices = cut(_vertices(once(firsts), size, percent), "vertices")
     keyed = vertices.select(F.explode("keys").alias("key"), "vid", "n")
     counted = keyed.withColumn("members", F.count("*").over(Window.partitionBy("key")))
     blocks = cut(counted.where("members > 1"), "blocks")
@@ -391,7 +430,7 @@ def components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size
 
     def verified(pairs: DataFrame, label: str) -> tuple[DataFrame, DataFrame]:
         """The links among the pairs, and the sets of the pairs that parities left."""
-        near = cut(_near(pairs, vertices, percent), f"near-{label}")
+        near = _near(pairs, vertices, percent)
         ids = cut(near.select(F.col("a").alias("vid")).union(near.select("b")).distinct(), f"near-ids-{label}")
         sets = cut(_shingle_sets(_only(firsts, ids, "vid", "left_semi", max_broadcast), size).dropDuplicates(["vid"]), f"sets-{label}")
         return cut(_linked(near, sets, percent), f"links-{label}"), sets

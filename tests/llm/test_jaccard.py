@@ -156,3 +156,23 @@ def test_parities_bound_the_difference():
         if len(a) < 2 * len(b) < 4 * len(a):  # others are told apart by their sizes
             tight.append(bits / max(d, 1))
     assert len(tight) > 150 and np.median(tight) > 0.75 and min(tight) > 0.4
+
+
+def test_points_are_packed_without_loss():
+    rng = np.random.default_rng(3)
+    points = [rng.integers(0, top, jaccard.POINT_GROUPS).astype(np.uint32) for top in (1, 3, 16, 17, 256, 257, 65536, 65537, 2 ** 32, 2)]
+    held = [jaccard.packed(p) for p in points]
+    assert [len(h) * 8 // jaccard.POINT_GROUPS for h in held[:3]] == [4, 4, 4] and len(held[-2]) == 4 * jaccard.POINT_GROUPS
+    assert (jaccard.unpacked(held) == np.stack(points)).all()
+    assert jaccard.unpacked([]).shape == (0, jaccard.POINT_GROUPS)
+
+
+def test_unrelated_pairs_are_told_apart_by_few_bytes():
+    rng = np.random.default_rng(4)
+    for n in (60, 300, 1500, 6000):
+        a, b = (np.unique(rng.integers(0, 2 ** 64, n, dtype=np.uint64)) for _ in "ab")
+        coarse = [jaccard.folded(jaccard.folded(jaccard.parities_of(x))) for x in (a, b)]
+        assert all(len(x) <= n // 4 for x in coarse)
+        assert 180 * jaccard.apart(*coarse) > 20 * 2 * n
+        near = np.unique(np.concatenate([a[n // 10:], rng.integers(0, 2 ** 64, n // 10, dtype=np.uint64)]))
+        assert 180 * jaccard.apart(coarse[0], jaccard.folded(jaccard.folded(jaccard.parities_of(near)))) <= 20 * (len(a) + len(near))
