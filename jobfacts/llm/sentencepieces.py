@@ -13,8 +13,14 @@ found when first needed, and as all finite weights are 0, the search goes depth
 pieces first, and ends with the first path to the end.
 
 Paths of all pieces pass through a single state before a word (a space that follows another
-character), as no piece holds such a space; so words are encoded one at a time and frequent
-ones remembered, in a table of bounded size.
+character), as no piece holds such a space; so words are encoded by themselves, each distinct
+word of many texts once.
+
+In a BPE model many words are composed together, all at one position at a time: a position is
+reached by the one piece whose join with the piece before it weighs 0.  The join weights not yet
+known are found together too, by merging the joined texts in step, and remembered in a table of
+bounded size.  Very long words, and any word with a position that several pieces reach, are
+searched alone.
 
 Defined results: NULL and empty texts have no ids and decode to an empty text; U+2581 in a
 text decodes to a space, so such a text makes no round trip; repeated rows and NULL in other
@@ -39,8 +45,12 @@ from jobfacts.llm.common import by_value
 by_value(__name__)
 
 SPACE = "▁"
-#: words and joins that a worker remembers
+#: joins that a worker remembers
 REMEMBERED = 400_000
+#: characters of a word that is composed with others
+SHORT = 64
+#: characters of the texts encoded together, and of the words composed together
+TEXTS, WORDS = 8_000_000, 200_000
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
 _UNIGRAM, _BPE = 1, 2
 
@@ -78,8 +88,59 @@ def _message(data: bytes) -> Iterator[tuple[int, int | bytes]]:
         yield tag >> 3, value
 
 
+def _characters(texts: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+
+
+def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """``count`` whole numbers from each ``first`` on, one after another."""
+    ends = np.cumsum(count)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + count, count)
+
+
+class _Table:
+    """A hash table from whole numbers under 2^39 to ones under 2^24, read and filled by arrays."""
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self, bits: int = 12) -> None:
+        self.shift, self.used = np.uint64(64 - bits), 0
+        self.held = np.full(1 << bits, -1, dtype=np.int64)
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).view(np.int64)
+
+    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Keys that are distinct and not yet held."""
+        rows = keys << 24 | values
+        if 3 * (self.used + len(rows)) > len(self.held):
+            rows = np.append(rows, self.held[self.held >= 0])
+            self.clear((6 * len(rows) - 1).bit_length())
+        self.used += len(rows)
+        slots, end = self._slots(rows >> 24), len(self.held) - 1
+        while len(rows):
+            free = self.held[slots] < 0
+            self.held[slots[free]] = rows[free]
+            left = self.held[slots] != rows  # of several rows for one slot, the last one stays
+            rows, slots = rows[left], (slots[left] + 1) & end
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """Values, -1 for keys that aren't held."""
+        slots, end = self._slots(keys), len(self.held) - 1
+        found = self.held[slots]
+        at = np.flatnonzero((found >> 24 != keys) & (found >= 0))
+        slots = slots[at]
+        while len(at):
+            slots = (slots + 1) & end
+            found[at] = own = self.held[slots]
+            more = (own >> 24 != keys[at]) & (own >= 0)
+            at, slots = at[more], slots[more]
+        return np.where(found >= 0, found & 0xFFFFFF, -1)
+
+
 class Pieces:
-    """A compiled model: ``encode`` and ``decode`` of single texts."""
+    """A compiled model: ``encode`` and ``decode`` of texts."""
 
     def __init__(self, model: bytes, rules: dict[str, str] | None = None):
         self.pieces: list[str] = []
@@ -123,11 +184,10 @@ class Pieces:
         held = {c for p in self.ids if len(p) > 1 for c in p}
         whole = any(SPACE in p.lstrip(SPACE) for p in self.ids)
         # cut before a space that follows another character, and around line ends if no piece holds one
-        word = f"{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+|\n+" if "\n" not in held else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+"
-        self.words = re.compile("[\\s\\S]+" if whole else word).findall
+        self.cuts = [] if whole else [SPACE] if "\n" in held else [SPACE, "\n"]
         self.least = min(self.scores, default=0.0) - 10.0
-        self.known: dict[str, bytes] = {}
         self.joins: dict[int, float] = {}
+        self.lattice: _Lattice | None = None
 
     def normalise(self, text: str) -> str:
         if self.rule:
@@ -208,11 +268,10 @@ class Pieces:
             at = back[at][0]
         return path[::-1]
 
-    def shortest(self, word: str) -> list[int]:
-        """Ids on the path of least weight through the composition with ``word``."""
+    def _ids(self, word: str, path: list[tuple[int, int, int]]) -> list[int]:
         out: list[int] = []
         fell = False
-        for start, end, piece in self._joined_path(word) if self.kind == _BPE else self._weighted_path(word):
+        for start, end, piece in path:
             if piece >= 0:
                 out.append(piece)
             elif self.fallback:
@@ -222,17 +281,70 @@ class Pieces:
             fell = piece < 0
         return out
 
-    def _word(self, word: str) -> bytes:
-        ids = np.array(self.shortest(word), dtype=np.int32).tobytes()
-        if len(word) <= 64:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[word] = ids
-        return ids
+    def shortest(self, word: str) -> list[int]:
+        """Ids on the path of least weight through the composition with ``word``."""
+        return self._ids(word, self._joined_path(word) if self.kind == _BPE else self._weighted_path(word))
+
+    def _word_starts(self, chars: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Places where the words of texts begin."""
+        on = np.zeros(len(chars) + 1, dtype=bool)
+        on[0] = on[ends] = True
+        for c in self.cuts:
+            same = chars == ord(c)
+            on[1:-1] |= same[1:] > same[:-1]
+            if c == "\n":
+                on[1:-1] |= same[1:] < same[:-1]
+        return np.flatnonzero(on[:-1])
+
+    def _encode_words(self, chars: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of words that aren't empty, and the place and number of each word's."""
+        starts = np.cumsum(lengths) - lengths
+        first, count, found, held = np.zeros(len(lengths), dtype=np.int64), np.zeros(len(lengths), dtype=np.int64), [], 0
+        alone = [np.arange(len(lengths))]
+        if self.kind == _BPE:
+            if self.lattice is None:
+                self.lattice = _Lattice(self)
+            alone = [np.flatnonzero(lengths > SHORT)]
+            short = np.flatnonzero(lengths <= SHORT)
+            short = short[np.argsort(lengths[short].astype(np.int8), kind="stable")]
+            sizes = np.cumsum(lengths[short])
+            cuts = np.searchsorted(sizes, np.arange(WORDS, sizes[-1] if len(sizes) else 0, WORDS))
+            for some in np.split(short, cuts):
+                if len(some):
+                    ids, n, odd = self.lattice.encode(chars[_ranges(starts[some], lengths[some])], lengths[some])
+                    first[some], count[some] = held + np.cumsum(n) - n, n
+                    alone.append(some[odd])
+                    found.append(ids)
+                    held += len(ids)
+        for i in np.concatenate(alone).tolist():
+            word = chars[starts[i]:starts[i] + lengths[i]].tobytes().decode("utf-32-le", "surrogatepass")
+            ids = np.array(self.shortest(word), dtype=np.int32)
+            first[i], count[i] = held, len(ids)
+            found.append(ids)
+            held += len(ids)
+        return np.concatenate([*found, np.zeros(0, dtype=np.int32)]), first, count
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the texts, one after another, and where each text's begin and the last ones end."""
+        normal = [self.normalise(t) for t in texts]
+        chars, ends = _characters(normal), np.cumsum([0, *map(len, normal)])
+        if not len(chars):
+            return np.zeros(0, dtype=np.int32), ends
+        starts = self._word_starts(chars, ends)
+        narrow = chars.astype(np.uint16) if chars.max() < 1 << 16 else chars
+        places = np.append(starts, len(chars)) * narrow.itemsize
+        words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(places), pa.py_buffer(narrow)]).dictionary_encode()
+        own = words.dictionary
+        bounds = np.frombuffer(own.buffers()[1], dtype=np.int64)[own.offset:own.offset + len(own) + 1] // narrow.itemsize
+        distinct = np.frombuffer(own.buffers()[2], dtype=narrow.dtype)[bounds[0]:bounds[-1]].astype("<u4")
+        ids, first, count = self._encode_words(distinct, np.diff(bounds))
+        at = words.indices.to_numpy()
+        counts = count[at]
+        before = np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(starts, ends)]
+        return ids[_ranges(first[at], counts)], before
 
     def encode(self, text: str) -> np.ndarray:
-        known, new = self.known, self._word
-        return np.frombuffer(b"".join([known.get(w) or new(w) for w in self.words(self.normalise(text))]), dtype=np.int32)
+        return self.encode_all([text])[0]
 
     def decode(self, ids) -> str:
         surface = self.surface
@@ -242,6 +354,199 @@ class Pieces:
         return data.decode("utf-8", "replace")
 
 
+class _Lattice:
+    """The composition of many words with a BPE model's pieces at once."""
+
+    def __init__(self, pieces: Pieces):
+        self.pieces = pieces
+        chars = {c: i for i, c in enumerate(dict.fromkeys(c for p in pieces.ids for c in p), 1)}
+        self.size = len(chars) + 1
+        self.codes = np.zeros(0x110000, dtype=np.int32)  # 0: in no piece
+        self.codes[[ord(c) for c in chars]] = list(chars.values())
+        self.arcs, arcs = _Table(), [(node * self.size + chars[c], to) for node, own in enumerate(pieces.arcs) for c, to in own.items()]
+        self.arcs.add(*(np.array(x, dtype=np.int64) for x in (zip(*arcs) if arcs else ((), ()))))
+        self.final = np.array(pieces.final, dtype=np.int64)
+        # symbols: pieces by id, then characters
+        n = len(pieces.pieces)
+        self.symbols = n + self.size
+        self.symbol = np.arange(self.size, dtype=np.int64) + n
+        self.single = np.zeros(self.size, dtype=bool)
+        for c, i in chars.items():
+            if c in pieces.ids:
+                self.symbol[i], self.single[i] = pieces.ids[c], True
+        symbol = {c: n + i for c, i in chars.items()} | pieces.ids
+        pairs = [(symbol[p[:k]] * self.symbols + symbol[p[k:]], i) for p, i in pieces.ids.items() for k in range(1, len(p))
+                 if p[:k] in symbol and p[k:] in symbol]
+        self.pairs = _Table()
+        self.pairs.add(*(np.array(x, dtype=np.int64) for x in (zip(*pairs) if pairs else ((), ()))))
+        self.rank = np.unique(-np.array(pieces.scores), return_inverse=True)[1].astype(np.int64)
+        self.joins = _Table()
+        # a piece that its own merges don't give has no join that fits
+        held = np.array(sorted(pieces.ids.values()), dtype=np.int64)
+        self.lengths = np.array([len(p) for p in pieces.pieces], dtype=np.int64)
+        self.offsets = np.cumsum(self.lengths) - self.lengths
+        self.text = self.symbol[self.codes[_characters(pieces.pieces)]]
+        good = self._fit(np.full(len(held), -1, dtype=np.int64), held)
+        whole = np.zeros(n + 1, dtype=bool)
+        whole[held[good]] = True
+        self.final[~whole[self.final]] = -1
+
+    def _merged(self, symbols: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols of texts (``owner``, from 0 upwards) after all merges, best score first, leftmost
+        first among equals, and their texts."""
+        never = 1 << 62
+
+        def order(at: np.ndarray) -> np.ndarray:
+            """When the pairs at these places merge, if they do."""
+            to = self.pairs.get(symbols[at] * self.symbols + symbols[at + 1])
+            return np.where((to >= 0) & (owner[at] == owner[at + 1]), self.rank[to], never)
+
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        when = np.append(order(np.arange(len(symbols) - 1)), never)
+        while len(symbols):
+            starts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+            best = np.minimum.reduceat(when, starts)
+            over = np.repeat(best == never, np.diff(np.append(starts, len(owner))))
+            if over.any():
+                done.append((symbols[over], owner[over]))
+                symbols, owner, when = symbols[~over], owner[~over], when[~over]
+                if not len(symbols):
+                    break
+                best = best[best != never]
+                starts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+            lengths = np.diff(np.append(starts, len(owner)))
+            hits = np.flatnonzero(when == np.repeat(best, lengths))
+            hits = hits[np.append(True, owner[hits[1:]] != owner[hits[:-1]])]  # the leftmost of each text
+            symbols[hits] = self.pairs.get(symbols[hits] * self.symbols + symbols[hits + 1])
+            keep = np.ones(len(symbols), dtype=bool)
+            keep[hits + 1] = False
+            symbols, owner, when = symbols[keep], owner[keep], when[keep]
+            hits -= np.arange(len(hits))
+            changed = np.concatenate([hits, hits[1:] - 1, hits[:1][hits[:1] > 0] - 1])
+            when[changed[changed == len(symbols) - 1]] = never
+            changed = changed[changed < len(symbols) - 1]
+            when[changed] = order(changed)
+        if not done:
+            return symbols, owner
+        symbols, owner = (np.concatenate(x) for x in zip(*done))
+        by = np.argsort(owner, kind="stable")
+        return symbols[by], owner[by]
+
+    def _fit(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether the merges of the joined texts give the two pieces back (left -1: the one)."""
+        if not len(left):
+            return np.zeros(0, dtype=bool)
+        sides = np.stack([left, right], axis=1).ravel()
+        lengths = np.where(sides >= 0, self.lengths[sides], 0)
+        symbols, owner = self._merged(self.text[_ranges(self.offsets[sides], lengths)], np.repeat(np.arange(len(sides)) >> 1, lengths))
+        firsts = np.searchsorted(owner, np.arange(len(left)))
+        count = np.diff(np.append(firsts, len(owner)))
+        two = left >= 0
+        return np.where(two, (count == 2) & (symbols[firsts] == left), count == 1) & (symbols[firsts + count - 1] == right)
+
+    def _joined(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether the join of the pieces weighs 0; left -1: at the start or after a fallback arc."""
+        n = len(self.lengths)
+        keys = (left + 1) * n + right
+        known = self.joins.get(keys)
+        at = np.flatnonzero(known < 0)
+        if len(at):
+            new, back = np.unique(keys[at], return_inverse=True)
+            fits = self._fit(new // n - 1, new % n)
+            known[at] = fits[back]
+            if self.joins.used + len(new) > REMEMBERED:
+                self.joins.clear()
+            if len(new) <= REMEMBERED:
+                self.joins.add(new, fits.astype(np.int64))
+        return known > 0
+
+    def encode(self, chars: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of words that aren't empty, the number of each word's, and the words that must be searched alone."""
+        codes = self.codes[chars].astype(np.int64)
+        words, ends = len(lengths), np.cumsum(lengths)
+        starts = ends - lengths
+        end, start = np.repeat(ends, lengths), np.repeat(starts, lengths)
+
+        # arcs: from a place to a later one, with a piece
+        place = np.arange(len(codes))
+        node = np.where(codes > 0, self.arcs.get(codes), -1).astype(np.int64)
+        fall = np.flatnonzero(~self.single[codes])
+        begins, stops, labels = [fall], [fall + 1], [np.full(len(fall), -1, dtype=np.int64)]
+        depth = 1
+        while True:
+            on = node > 0
+            place, node = place[on], node[on]
+            if not len(place):
+                break
+            piece = self.final[node]
+            hit = piece >= 0
+            begins.append(place[hit])
+            stops.append(place[hit] + depth)
+            labels.append(piece[hit])
+            on = place + depth < end[place]
+            place, node = place[on], node[on]
+            code = codes[place + depth]
+            node = np.where(code > 0, self.arcs.get(node * self.size + code), -1).astype(np.int64)
+            depth += 1
+        begin, stop, label = (np.concatenate(x) for x in (begins, stops, labels))
+
+        # states lie between characters: a word's are its places and one more
+        word = np.repeat(np.arange(words), lengths)
+        step = (stop - start[begin]).astype(np.int8)
+        by = np.argsort(step, kind="stable")
+        own = word[begin[by]]
+        begin, stop, label = begin[by] + own, stop[by] + own, label[by]
+        bounds = np.append(starts, len(codes)) + np.arange(words + 1)
+        last = np.full(len(codes) + words, -2, dtype=np.int64)
+        last[bounds[:-1]] = -1
+        back, mark = np.zeros(len(last), dtype=np.int64), np.zeros(len(last), dtype=np.int64)
+        odd = np.zeros(words, dtype=bool)
+        high = 0
+        for count in np.bincount(step).tolist():
+            low, high = high, high + count
+            before, piece = last[begin[low:high]], label[low:high]
+            good = before > -2
+            real = np.flatnonzero(good & (piece >= 0))
+            good[real] = self._joined(before[real], piece[real])
+            good = np.flatnonzero(good)
+            to = stop[low:high][good]
+            last[to], back[to], mark[to] = piece[good], begin[low:high][good], good
+            odd[own[low:high][good[mark[to] != good]]] = True
+        odd |= last[bounds[1:] - 1] < -1
+
+        on = np.zeros(len(last), dtype=bool)
+        at, floor = (bounds[1:] - 1)[~odd], bounds[:-1][~odd]
+        while len(at):
+            on[at] = True
+            at = back[at]
+            more = at > floor
+            at, floor = at[more], floor[more]
+        path = np.flatnonzero(on)
+        ids, owner = last[path].astype(np.int32), np.searchsorted(bounds, path, side="right") - 1
+        fell = np.flatnonzero(ids < 0)
+        if len(fell):
+            ids, owner = self._fallen(ids, owner, fell, chars[path[fell] - owner[fell] - 1])
+        return ids, np.bincount(owner, minlength=words), np.flatnonzero(odd)
+
+    def _fallen(self, ids: np.ndarray, owner: np.ndarray, fell: np.ndarray, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their words with the characters at ``fell`` written as bytes, or a run of them as one unknown."""
+        model = self.pieces
+        if not model.fallback:
+            ids[fell] = model.unknown
+            keep = np.ones(len(ids), dtype=bool)
+            keep[fell[1:][(np.diff(fell) == 1) & (owner[fell[1:]] == owner[fell[:-1]])]] = False
+            return ids[keep], owner[keep]
+        kinds, at = np.unique(chars, return_inverse=True)
+        own = [[model.bytes_ids[b] for b in chr(c).encode("utf-8", "surrogatepass")] for c in kinds.tolist()]
+        size = np.array([len(x) for x in own])
+        count = np.ones(len(ids), dtype=np.int64)
+        count[fell] = size[at]
+        ids, owner = np.repeat(ids, count), np.repeat(owner, count)
+        places = (np.cumsum(count) - count)[fell]
+        ids[_ranges(places, size[at])] = np.concatenate(own)[_ranges((np.cumsum(size) - size)[at], size[at])]
+        return ids, owner
+
+
 def load(model_path: str, rules: dict[str, str] | None = None) -> Pieces:
     with open(model_path, "rb") as f:
         return Pieces(f.read(), rules)
@@ -267,13 +572,18 @@ def encode(docs: DataFrame, pieces: Pieces, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = get()
         for batch in batches:
-            ids, same = [], []
-            for value in batch.column("t"):
-                t = value.as_py() or ""
-                found = own.encode(t)
-                ids.append(found)
-                same.append(own.decode(found.tolist()) == t)
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+            ids, ends, same, texts, held = [], [np.zeros(1, dtype=np.int64)], [], [], 0
+            for i, value in enumerate(batch.column("t"), 1):
+                texts.append(value.as_py() or "")
+                held += len(texts[-1])
+                if held >= TEXTS or i == batch.num_rows:
+                    found, bounds = own.encode_all(texts)
+                    ids.append(found)
+                    ends.append(bounds[1:] + ends[-1][-1])
+                    flat, bounds = found.tolist(), bounds.tolist()
+                    same += [own.decode(flat[a:b]) == t for a, b, t in zip(bounds, bounds[1:], texts)]
+                    texts, held = [], 0
+            ends = np.concatenate(ends).astype(np.int32)
             flat = np.concatenate([*ids, np.zeros(0, dtype=np.int32)])
             yield pa.record_batch([batch.column("doc"), pa.ListArray.from_arrays(ends, flat), pa.array(same, pa.bool_())], ["doc", "ids", "same"])
 

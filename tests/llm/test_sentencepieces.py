@@ -68,6 +68,26 @@ def test_rules_rewrite_the_text():
     assert pieces.normalise("xxx a") == "▁cab▁a"
 
 
+def test_new_words_are_composed_together(monkeypatch):
+    pieces, library = sp.load(sp.default_model()), sentencepiece.SentencePieceProcessor(model_file=sp.default_model())
+    rng, alone = random.Random(4), []
+    texts = [" ".join("".join(rng.choice("abdehinorstäé漢,") for _ in range(rng.randrange(1, 15))) for _ in range(40)) for _ in range(60)]
+    texts += ["", "x" * 65 + " a", *TEXTS]
+    monkeypatch.setattr(sp, "WORDS", 1000)
+    shortest = pieces.shortest
+    monkeypatch.setattr(pieces, "shortest", lambda word: alone.append(word) or shortest(word))
+    ids, ends = pieces.encode_all(texts)
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [library.encode(t) for t in texts]
+    assert all(len(w) > sp.SHORT for w in alone)
+
+
+def test_texts_of_a_batch_encoded_in_parts(spark, monkeypatch):
+    data = [(i, t) for i, t in enumerate(TEXTS + random_texts(30))]
+    want = {r.doc_id: r.ids for r in sp.sentencepiece_query(docs(spark, data).coalesce(1)).collect()}
+    monkeypatch.setattr(sp, "TEXTS", 50)
+    assert {r.doc_id: r.ids for r in sp.sentencepiece_query(docs(spark, data).coalesce(1)).collect()} == want
+
+
 def test_query_round_trip_and_edges(spark):
     data = [(i, t) for i, t in enumerate(TEXTS)] + [(98, None), (99, "▁ lost"), (99, "▁ lost"), (None, "x")]
     rows = sp.sentencepiece_query(clashing(docs(spark, data)))
