@@ -7,7 +7,9 @@ the points bounds all overlaps of a leaf at once; surviving pairs are verified o
 One tree over all points can't be dealt out to tasks, and its boxes overlap in so many
 dimensions; so the groups also say which documents meet in one task.  Documents of similar
 size that link differ in at most D shingles.  With D + 1 groups, one group at least holds
-the same shingles in both: its hash is a key, and linked documents share a key.
+the same shingles in both: its hash is a key, and linked documents share a key.  Unrelated
+documents share groups that are empty in both, so there are spare groups: with D + 1 + s, linked
+documents share s + 1 at least, and one that leaves no more than s empty needs no key of those.
 
 Before the sets of a pair are compared, finer points are: the parities of the counts of some
 four groups per shingle, a bit each.  Sets that differ in d shingles differ in d bits at most, so
@@ -33,6 +35,7 @@ component's smallest id unless all are NULL; an empty table gives an empty resul
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from math import ceil, exp, sqrt
 
 import numpy as np
 import pandas as pd
@@ -80,6 +83,15 @@ def class_groups(bounds: np.ndarray, cls: int, percent: int) -> int:
     return 2 * largest * (100 - percent) // (100 + percent) + 1
 
 
+def spare_groups(least: int, n: int) -> int:
+    """Groups beside n, of which sets of ``least`` shingles seldom leave more empty."""
+    spare = 0
+    for _ in range(4):
+        empty = (n + spare) * exp(-least / (n + spare))
+        spare = ceil(empty + 2 * sqrt(empty))
+    return spare
+
+
 def keys_of(values: np.ndarray, bounds: np.ndarray, percent: int) -> np.ndarray:
     """Hashes of the contents of the groups, once with each neighbouring size class."""
     if not len(values):
@@ -90,8 +102,13 @@ def keys_of(values: np.ndarray, bounds: np.ndarray, percent: int) -> np.ndarray:
     keys = []
     for c in (cls, cls + 1):
         n = class_groups(bounds, c, percent)
+        spare = spare_groups(int(bounds[max(c - 1, 0)]), n)
+        n += spare
         ends = np.searchsorted((top * _U(n)) >> _U(32), np.arange(n + 1, dtype=_U))
-        keys.append(mix(sums[ends[1:]] - sums[ends[:-1]] + mix(np.arange(n, dtype=_U) + _U(c << 32))))
+        own = mix(sums[ends[1:]] - sums[ends[:-1]] + mix(np.arange(n, dtype=_U) + _U(c << 32)))
+        held = ends[1:] > ends[:-1]
+        # linked sets share more than the spare groups: if one set leaves no more of them empty, one that isn't
+        keys.append(own[held] if n - held.sum() <= spare else own)
     return np.unique(np.concatenate(keys)).view(np.int64)
 
 

@@ -50,7 +50,7 @@ REMEMBERED = 400_000
 #: characters of a word that is composed with others
 SHORT = 64
 #: characters of the texts encoded together, and of the words composed together
-TEXTS, WORDS = 8_000_000, 200_000
+TEXTS, WORDS = 4_000_000, 100_000
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _UNUSED, _BYTE = 1, 2, 3, 4, 5, 6
 _UNIGRAM, _BPE = 1, 2
 
@@ -94,8 +94,10 @@ def _characters(texts: list[str]) -> np.ndarray:
 
 def _ranges(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     """``count`` whole numbers from each ``first`` on, one after another."""
-    ends = np.cumsum(count)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - ends + count, count)
+    ends = np.cumsum(count, dtype=first.dtype)
+    out = np.repeat(first - ends + count, count)
+    out += np.arange(len(out), dtype=out.dtype)
+    return out
 
 
 class _Table:
@@ -299,7 +301,8 @@ class Pieces:
     def _encode_words(self, chars: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of words that aren't empty, and the place and number of each word's."""
         starts = np.cumsum(lengths) - lengths
-        first, count, found, held = np.zeros(len(lengths), dtype=np.int64), np.zeros(len(lengths), dtype=np.int64), [], 0
+        kind = np.int32 if len(chars) < 1 << 28 else np.int64
+        first, count, found, held = np.zeros(len(lengths), dtype=kind), np.zeros(len(lengths), dtype=kind), [], 0
         alone = [np.arange(len(lengths))]
         if self.kind == _BPE:
             if self.lattice is None:
@@ -337,11 +340,12 @@ class Pieces:
         own = words.dictionary
         bounds = np.frombuffer(own.buffers()[1], dtype=np.int64)[own.offset:own.offset + len(own) + 1] // narrow.itemsize
         distinct = np.frombuffer(own.buffers()[2], dtype=narrow.dtype)[bounds[0]:bounds[-1]].astype("<u4")
+        at, before = words.indices.to_numpy(), np.searchsorted(starts, ends)
+        bounds = bounds - bounds[0]
+        del normal, chars, starts, places, narrow, words, own
         ids, first, count = self._encode_words(distinct, np.diff(bounds))
-        at = words.indices.to_numpy()
         counts = count[at]
-        before = np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(starts, ends)]
-        return ids[_ranges(first[at], counts)], before
+        return ids[_ranges(first[at], counts)], np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])[before]
 
     def encode(self, text: str) -> np.ndarray:
         return self.encode_all([text])[0]
@@ -572,20 +576,16 @@ def encode(docs: DataFrame, pieces: Pieces, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = get()
         for batch in batches:
-            ids, ends, same, texts, held = [], [np.zeros(1, dtype=np.int64)], [], [], 0
+            texts, held, first = [], 0, 0
             for i, value in enumerate(batch.column("t"), 1):
                 texts.append(value.as_py() or "")
                 held += len(texts[-1])
                 if held >= TEXTS or i == batch.num_rows:
-                    found, bounds = own.encode_all(texts)
-                    ids.append(found)
-                    ends.append(bounds[1:] + ends[-1][-1])
-                    flat, bounds = found.tolist(), bounds.tolist()
-                    same += [own.decode(flat[a:b]) == t for a, b, t in zip(bounds, bounds[1:], texts)]
-                    texts, held = [], 0
-            ends = np.concatenate(ends).astype(np.int32)
-            flat = np.concatenate([*ids, np.zeros(0, dtype=np.int32)])
-            yield pa.record_batch([batch.column("doc"), pa.ListArray.from_arrays(ends, flat), pa.array(same, pa.bool_())], ["doc", "ids", "same"])
+                    ids, ends = own.encode_all(texts)
+                    same = [own.decode(ids[a:b].tolist()) == t for a, b, t in zip(ends, ends[1:], texts)]
+                    yield pa.record_batch([batch.column("doc").slice(first, len(texts)), pa.ListArray.from_arrays(ends.astype(np.int32), ids),
+                                           pa.array(same, pa.bool_())], ["doc", "ids", "same"])
+                    texts, held, first = [], 0, i
 
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]) if len(docs.columns) > 1 else F.struct(F.lit(0).alias("_"))
     rows = docs.select(whole.alias("doc"), F.col(f"`{text}`").alias("t"))

@@ -176,3 +176,22 @@ def test_unrelated_pairs_are_told_apart_by_few_bytes():
         assert 180 * jaccard.apart(*coarse) > 20 * 2 * n
         near = np.unique(np.concatenate([a[n // 10:], rng.integers(0, 2 ** 64, n // 10, dtype=np.uint64)]))
         assert 180 * jaccard.apart(coarse[0], jaccard.folded(jaccard.folded(jaccard.parities_of(near)))) <= 20 * (len(a) + len(near))
+
+
+def test_unrelated_sets_share_few_keys_and_linked_ones_some():
+    rng = np.random.default_rng(5)
+    bounds = jaccard.size_bounds(80)
+    for n in (20, 60, 300):
+        sets = [np.unique(rng.integers(0, 2 ** 64, int(rng.integers(n, n * 5 // 4)), dtype=np.uint64)) for _ in range(150)]
+        keys = [jaccard.keys_of(x, bounds, 80) for x in sets]
+        shared = sum(len(np.intersect1d(a, b)) > 0 for i, a in enumerate(keys) for b in keys[:i])
+        assert shared <= 20  # of 11,175 pairs
+    for _ in range(3000):  # small sets as far apart as links allow, with many empty groups
+        a = np.unique(rng.integers(0, 2 ** 64, int(rng.integers(1, 60)), dtype=np.uint64))
+        out = int(rng.integers(0, len(a)))
+        b = a[rng.permutation(len(a))[out:]]
+        new = max(0, len(b) * 100 // 80 - len(a)) if rng.random() < 0.5 else int(rng.integers(0, 1 + len(a) // 4))
+        b = np.unique(np.concatenate([b, rng.integers(0, 2 ** 64, new, dtype=np.uint64)]))
+        both = len(np.intersect1d(a, b))
+        if 100 * both >= 80 * (len(a) + len(b) - both):
+            assert len(np.intersect1d(jaccard.keys_of(a, bounds, 80), jaccard.keys_of(b, bounds, 80)))
