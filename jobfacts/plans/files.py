@@ -5,6 +5,7 @@ These go through the driver's JVM gateway, so they need a classic session, not S
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import SparkSession
@@ -43,6 +44,8 @@ def create_new(spark: SparkSession, path: str, text: str) -> bool:
     """Creates a file that must not exist; False if it does.  The file system decides between
     two callers."""
     jvm, at, system = _system(spark, path)
+    if system.getUri().getScheme() == "file":
+        return _create_local(at.toUri().getPath(), text)
     try:
         out = system.create(at, False)
     except Exception as e:
@@ -54,6 +57,23 @@ def create_new(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def _create_local(path: str, text: str) -> bool:
+    """Hadoop's local file system looks for the file before it creates it, which two callers may do at
+    once; a link is made by one alone, and its file has its text from the start."""
+    folder = os.path.dirname(path)
+    os.makedirs(folder, exist_ok=True)
+    new = f"{folder}/.{uuid.uuid4().hex}"
+    with open(new, "x") as f:
+        f.write(text)
+    try:
+        os.link(new, path)
+    except FileExistsError:
+        return False
+    finally:
+        os.unlink(new)
+    return True
+
+
 def replace_file(spark: SparkSession, path: str, text: str) -> None:
     """Replaces a file by one rename: a reader sees the old or the new text."""
     jvm, at, system = _system(spark, path)

@@ -138,3 +138,14 @@ def test_old_and_failed_runs_go(spark, tmp_path):
     there = {n for n, _ in files.children(spark, path) if n.startswith(("run-", "orphans-"))}
     assert there == {r for x in (runs[1], last) for r in (x, x.replace("run-", "orphans-"))}
     assert sink.read_fact(spark, path).count() > 0
+
+
+def test_one_of_many_callers_creates_a_file(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(8) as pool:
+        for k in range(40):
+            path = f"{tmp_path}/folder/{k}"
+            made = list(pool.map(lambda i: files.create_new(spark, path, str(i)), range(8)))
+            assert made.count(True) == 1 and files.read_text(spark, path) == str(made.index(True))
+    assert len(files.children(spark, f"{tmp_path}/folder")) == 40
